@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,6 +13,7 @@ UNROUTED = "_unrouted"
 REJECT = "_reject"
 TABLE_UNMATCHED = "table_unmatched"
 PROJECTION = "projection"
+NULL_KEY = "null_key"
 
 
 @dataclass(frozen=True)
@@ -83,6 +84,27 @@ def route_changes(
     ).drop("parse_error", "nested")
 
 
+def reject_null_keys(
+    routed: DataFrame, routes: Sequence[Route], keys: Mapping[str, Sequence[str]]
+) -> DataFrame:
+    """Turn routed rows with a null key column into rejects (``null_key``).
+
+    ``keys`` gives the key columns per destination. An all-null row is a valid
+    projection, but no table can take a row without a key.
+    """
+    keyless = F.lit(False)
+    for r in routes:
+        for k in keys[r.dest]:
+            if k != r.shard_column:
+                keyless = keyless | ((F.col("dest") == r.dest) & F.col(f"after.`{k}`").isNull())
+    return routed.withColumns(
+        {
+            "dest": F.when(keyless, REJECT).otherwise(F.col("dest")),
+            "reject_reason": F.when(keyless, NULL_KEY).otherwise(F.col("reject_reason")),
+        }
+    )
+
+
 def routed_rows(routed: DataFrame, route: Route, keep: Sequence[str] = ()) -> DataFrame:
     """The rows of one route as its typed columns, after ``keep``."""
     shard = [route.shard_column] if route.shard_column else []

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -15,6 +16,8 @@ JSON_TIMES = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
+# Facts without a key match nothing and only have to lie apart.
+KEYLESS_SLOTS = 256
 
 
 def temporal_join_stream(
@@ -48,7 +51,7 @@ def temporal_join_stream(
     def tagged(df: DataFrame, side: int, group: Column) -> DataFrame:
         return df.select(
             F.col(key).cast("string").alias("_key"),
-            group.cast("int").alias("_group"),
+            group.alias("_group"),
             F.col(seq).alias("_seq"),
             F.lit(side).alias("_side"),
             F.to_json(
@@ -56,7 +59,10 @@ def temporal_join_stream(
             ).alias("_row"),
         )
 
-    slot = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(spread))
+    # Any slot is right for a fact; the task number separates exact copies.
+    mixed = F.xxhash64(*[F.col(c) for c in facts.columns]) + F.spark_partition_id()
+    slots = F.when(F.col(key).isNull(), KEYLESS_SLOTS).otherwise(spread)
+    slot = F.pmod(mixed, slots).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
     fact_rows = tagged(facts, 1, slot)
     if how == "inner":
@@ -76,17 +82,18 @@ def temporal_join_stream(
         # A key's rows may come in several chunks, in no order.
         rows = pd.concat(list(chunks), ignore_index=True)
         rows = rows.sort_values(["_seq", "_side"], kind="stable", ignore_index=True)
-        is_dim = rows["_side"] == 0
-        known = rows["_row"].where(is_dim).ffill()
-        if state.exists:
-            known = known.fillna(state.get[0])
-        if is_dim.any():
-            state.update((rows.loc[is_dim, "_row"].iloc[-1],))
+        is_dim = (rows["_side"] == 0).to_numpy()
+        texts = rows["_row"].to_numpy(dtype=object)
+        # For each row the place of the newest dimension row up to it, or -1.
+        newest = np.maximum.accumulate(np.where(is_dim, np.arange(len(rows)), -1))
+        stored = state.get[0] if state.exists else None
+        known = np.where(newest >= 0, texts[newest], stored)
+        if newest[-1] >= 0:
+            state.update((texts[newest[-1]],))
         if with_ttl and state.exists:
             state.setTimeoutDuration(state_ttl_ms)
-        out = pd.DataFrame({"_fact": rows["_row"], "_dim": known})[~is_dim]
-        out = out.astype(object).where(out.notna(), None)
-        yield out if keep_unmatched else out[out["_dim"].notna()]
+        wanted = ~is_dim if keep_unmatched else ~is_dim & (known != None)  # noqa: E711
+        yield pd.DataFrame({"_fact": texts[wanted], "_dim": known[wanted]})
 
     joined = rows.groupBy("_key", "_group").applyInPandasWithState(
         match,
