@@ -26,11 +26,12 @@ def decimal_bytes(c: Column, dtype: T.DecimalType) -> Column:
     if dtype.precision <= 18:
         word_hex = F.lpad(F.hex(digits.cast("bigint")), 16, "0")
     else:
-        unscaled = digits.cast("decimal(38,0)")
-        negative = unscaled < 0
-        # -(u + 1) is the bitwise complement, so both words can be computed on
-        # a non-negative number and flipped afterwards without overflow.
-        magnitude = F.when(negative, -(unscaled + 1)).otherwise(unscaled).cast("decimal(38,0)")
+        negative = digits.startswith("-")
+        # |u| - 1 is the bitwise complement of a negative u, so both words can
+        # be computed on a non-negative number and flipped afterwards. The sign
+        # comes off the text: Spark rounds when it negates 35 digits and more.
+        absolute = F.regexp_replace(digits, "-", "").cast("decimal(38,0)")
+        magnitude = (absolute - negative.cast("int")).cast("decimal(38,0)")
         modulus = F.lit(TWO_POW_64).cast("decimal(20,0)")
         low_part = (magnitude % modulus).cast("decimal(20,0)")
         high = ((magnitude - low_part) / modulus).cast("bigint")

@@ -119,34 +119,64 @@ def parse_envelope(
     nested value or a rounded number are read again as variants, which keep
     both the JSON type and up to 38 digits.
     """
-    df = computed_once(df, "_event", _from_json(value, columns, "STRING", before))
+    def decoded(event: Column) -> Column:
+        source, row = event["source"], _image(event, before)
+        db, table = (F.when(~_looks_nested(source[c]), source[c]) for c in ("db", "table"))
+        not_an_object = event.isNull() | (
+            event[CORRUPT].isNotNull() & source.isNull() & row.isNull()
+        )
+        error = (
+            F.when(not_an_object, MALFORMED)
+            .when(db.isNull() | table.isNull(), SOURCE_MISSING)
+            .when(row.isNull(), AFTER_NULL)
+        )
+        plain = F.struct(row.alias("after"), F.lit(None).cast("array<string>").alias("nested"))
+        inexact = F.concat_ws(FIELD_GAP, F.lit(""), *[row[c] for c in columns]).rlike(INEXACT_TEXT)
+        return F.struct(
+            db.alias("db"),
+            table.alias("table"),
+            event["op"].alias("op"),
+            F.when(inexact, _exact_fields(value, columns, row, before)).otherwise(plain).alias("image"),
+            error.alias("parse_error"),
+        )
 
-    source, row = F.col("_event.source"), _image("_event", before)
-    db, table = (F.when(~source[c].rlike(r"^[{\[]"), source[c]) for c in ("db", "table"))
-    not_an_object = F.col("_event").isNull() | (
-        F.col(f"_event.{CORRUPT}").isNotNull() & source.isNull() & row.isNull()
-    )
-    error = (
-        F.when(not_an_object, MALFORMED)
-        .when(db.isNull() | table.isNull(), SOURCE_MISSING)
-        .when(row.isNull(), AFTER_NULL)
-    )
-    inexact = F.concat_ws(FIELD_GAP, F.lit(""), *[row[c] for c in columns]).rlike(INEXACT_TEXT)
-    exact = F.when(inexact, _from_json(value, columns, "VARIANT", before))
-    df = computed_once(df, "_exact", exact)
-    typed = _image("_exact", before)
-    texts = F.struct(*[typed[c].cast("string").alias(c) for c in columns])
-    kinds = [F.when(F.schema_of_variant(typed[c]).rlike("^(OBJECT|ARRAY)"), c) for c in columns]
+    event = _from_json(value, columns, "STRING", before)
+    df = df.select("*", F.explode(F.transform(F.array(event), decoded)).alias("_decoded"))
     return df.withColumns(
         {
-            "db": db,
-            "table": table,
-            "op": F.col("_event.op"),
-            "after": F.when(typed.isNotNull(), texts).otherwise(row),
-            "nested": F.when(typed.isNotNull(), F.array_compact(F.array(*kinds))),
-            "parse_error": error,
+            "db": F.col("_decoded.db"),
+            "table": F.col("_decoded.table"),
+            "op": F.col("_decoded.op"),
+            "after": F.col("_decoded.image.after"),
+            "nested": F.col("_decoded.image.nested"),
+            "parse_error": F.col("_decoded.parse_error"),
         }
-    ).drop("_event", "_exact")
+    ).drop("_decoded")
+
+
+def _exact_fields(value: str, columns: Sequence[str], rough: Column, before: bool) -> Column:
+    """``after`` and ``nested`` from variants; from the text where those fail,
+    as they do for a nested value with repeated names."""
+
+    def typed(event: Column) -> Column:
+        row = _image(event, before)
+        texts = [F.coalesce(row[c].cast("string"), rough[c]).alias(c) for c in columns]
+        kinds = [
+            F.when(row[c].isNull() & _looks_nested(rough[c]), c).when(
+                F.schema_of_variant(row[c]).rlike("^(OBJECT|ARRAY)"), c
+            )
+            for c in columns
+        ]
+        return F.struct(
+            F.struct(*texts).alias("after"),
+            F.array_compact(F.array(*kinds)).alias("nested"),
+        )
+
+    return F.transform(F.array(_from_json(value, columns, "VARIANT", before)), typed)[0]
+
+
+def _looks_nested(text: Column) -> Column:
+    return text.startswith("{") | text.startswith("[")
 
 
 def _from_json(value: str, columns: Sequence[str], kind: str, before: bool) -> Column:
@@ -160,13 +190,12 @@ def _from_json(value: str, columns: Sequence[str], kind: str, before: bool) -> C
     )
 
 
-def _image(event: str, before: bool) -> Column:
+def _image(event: Column, before: bool) -> Column:
     """The after-image; with ``before``, a delete's before-image in its place."""
-    after = F.col(f"{event}.after")
+    after = event["after"]
     if not before:
         return after
-    by_before = after.isNull() & (F.col(f"{event}.op") == OP_DELETE)
-    return F.when(by_before, F.col(f"{event}.before")).otherwise(after)
+    return F.when(after.isNull() & (event["op"] == OP_DELETE), event["before"]).otherwise(after)
 
 
 def project_after(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

@@ -30,21 +30,21 @@ def hot_key_bounds(
 
     Returns ``keys``, ``bounds`` (ascending distinct order values) and
     ``heavy`` (whether a bound is one order value shared by a chunk's worth of
-    rows). Runs one count per key with map-side combine over the key columns
-    only, and a sample of the hot keys only if there are any. The result is
-    checkpointed: the sample must be the same for every reader of the bounds.
+    rows). Runs one count per key, with map-side combine, over the key columns
+    only; the rest follows only if a key is hot. The result is checkpointed:
+    the sample must be the same for every reader of the bounds.
     """
     counts = rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    limit = F.greatest(F.lit(float(max_group_rows)), total / F.lit(float(MAX_CHUNKS)))
-    hot = checkpointed(
-        counts.withColumn("_limit", limit).where(F.col("_rows") > F.col("_limit"))
-    )
-    first = hot.select("_limit").first()
-    if first is None:
+    above = counts.where(F.col("_rows") > max_group_rows)
+    if above.isEmpty():
+        return None
+    total = counts.agg(F.sum("_rows")).first()[0]
+    limit = max(max_group_rows, total / MAX_CHUNKS)
+    hot = checkpointed(above.where(F.col("_rows") > limit))
+    if hot.isEmpty():
         return None
-    fraction = min(1.0, SAMPLES_PER_CHUNK / first["_limit"])
-    every = max(1, round(fraction * first["_limit"]))
+    fraction = min(1.0, SAMPLES_PER_CHUNK / limit)
+    every = max(1, round(fraction * limit))
     # hot has fewer than MAX_CHUNKS rows by its own filter.
     sample = (
         rows.sample(fraction, seed=17)

@@ -104,7 +104,7 @@ def _stream_tables(deletes: bool) -> str:
            CASE WHEN target <> 'test_tb_no_time' THEN modify_time END AS create_time,
            CASE WHEN target <> 'test_tb_no_time' THEN modify_time END AS modify_time,
            CASE WHEN target = 'dev_tb_01' THEN address END AS address,
-           strftime(ts, '%Y-%m-%d') AS logday, strftime(ts, '%I') AS hh
+           strftime(date_trunc('week', ts), '%Y-%m-%d') AS logday, '12' AS hh
     FROM newest {drop}"""
 
 

@@ -374,7 +374,8 @@ def _stream_tables(spark: SparkSession, sf_dir: str, deletes: str) -> DataFrame:
         )
         for r in ROUTES
     }
-    stamp = F.to_timestamp("after.modify_time", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    # Partitions by week of change, so that ids move on and old weeks empty.
+    stamp = F.date_trunc("week", F.to_timestamp("after.modify_time", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     # One run per part: each continues from the checkpoint of the one before.
     for part in _in_slices(log, last):
         part.write.mode("append").parquet(f"{folder}/log")
