@@ -41,7 +41,9 @@ def temporal_join_stream(
     ``spread`` > 1 divides the facts of every key over that many groups, each
     with its own copy of the dimension state: for keys too hot for one task.
     Bound the batch size at the sources. ``state_ttl_ms`` drops state that no
-    row touched for that long; by default state is kept.
+    row touched for that long; by default state is kept. With it, use a
+    processing-time trigger: an available-now query would not end, since Spark
+    goes on starting empty batches to look for expired state.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")

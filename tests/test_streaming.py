@@ -1,5 +1,7 @@
 import json
+import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -208,11 +210,42 @@ def test_values_keep_their_type(spark):
 def test_left_stream_join_keeps_unmatched(spark):
     got = run_join(
         spark, new_folder(spark, "join"),
-        lambda f, d: temporal_join_stream(as_rows(f), as_rows(d), "id", "seq", how="left", state_ttl_ms=3_600_000),
+        lambda f, d: temporal_join_stream(as_rows(f), as_rows(d), "id", "seq", how="left"),
         [([item(1, "a"), item(3, "a"), item(1, None)], [item(2, "a", 5)])],
     )
-    assert sorted((r.seq, r.id, r.n0) for r in got.collect()) == sorted(
-        [(1, "a", None), (3, "a", 5), (1, None, None)], key=str)
+    assert {(r.seq, r.id, r.n0) for r in got.collect()} == {(1, "a", None), (3, "a", 5), (1, None, None)}
+    assert got.count() == 3
+
+
+def test_state_expires(spark):
+    folder = new_folder(spark, "ttl")
+    write(spark, f"{folder}/facts", [item(1, "a")])
+    write(spark, f"{folder}/dims", [item(0, "a", 5)])
+    joined = temporal_join_stream(
+        *(as_rows(stream(spark, f"{folder}/{n}")) for n in ("facts", "dims")),
+        "id", "seq", how="left", state_ttl_ms=1,
+    )
+    query = (
+        joined.writeStream.format("parquet").option("path", f"{folder}/out")
+        .option("checkpointLocation", f"{folder}/cp").trigger(processingTime="1 second").start()
+    )
+    rows = lambda: spark.read.schema(joined.schema).parquet(f"{folder}/out").collect()
+
+    def wait_for(done):
+        deadline = time.time() + 40
+        while not done() and time.time() < deadline and query.isActive:
+            time.sleep(0.5)
+        assert done()
+
+    kept = lambda: sum(o.numRowsTotal for p in query.recentProgress[-1:] for o in p.stateOperators)
+    try:
+        wait_for(lambda: query.recentProgress and os.path.isdir(f"{folder}/out") and len(rows()) == 1)
+        wait_for(lambda: query.lastProgress.batchId > 0 and kept() == 0)
+        write(spark, f"{folder}/facts", [item(2, "a")])
+        wait_for(lambda: len(rows()) == 2)
+    finally:
+        query.stop()
+    assert sorted((r.seq, r.n0) for r in rows()) == [(1, 5), (2, None)]
 
 
 def test_stream_join_equals_the_batch_join(spark):
