@@ -33,7 +33,7 @@ from .sinks.messages import (
     with_parallelism,
     with_partition_key,
 )
-from .sinks.tables import TableSpec, ensure_table, upsert_table
+from .sinks.tables import TableSpec, ensure_table, remove_old_versions, upsert_table
 from .sources import changes_from_events, jdbc_options, kafka_source_options, read_changes, read_lines
 from .streaming.fan_out import fan_out
 from .streaming.options import JobOptions, use_rocksdb_state

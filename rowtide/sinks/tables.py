@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
-from urllib.parse import unquote
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
@@ -115,6 +116,28 @@ def upsert_table(
         changes.unpersist()
 
 
+def remove_old_versions(spark: SparkSession, spec: TableSpec, older_than_hours: float = 24.0) -> int:
+    """Delete replaced partition folders; returns how many.
+
+    A folder goes only if the catalog's table reads no file in it and it is
+    older than the given age, which must exceed the longest query on the table
+    and the longest write to it. Works on folder names, never on rows.
+    """
+    levels = "/*=*" * len(spec.partition_columns)
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{spec.location.rstrip('/')}/version-*{levels}")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    used = {
+        unquote(urlparse(f).path).rsplit("/", 1)[0] for f in spark.table(spec.name).inputFiles()
+    }
+    oldest = (time.time() - older_than_hours * 3600) * 1000
+    removed = 0
+    for status in files.globStatus(pattern) or []:
+        folder = status.getPath().toUri().getPath()
+        if folder not in used and status.getModificationTime() <= oldest:
+            removed += bool(files.delete(status.getPath(), True))
+    return removed
+
+
 def bucket_of(spec: TableSpec) -> Column:
     return F.pmod(F.xxhash64(*spec.keys), F.lit(spec.buckets)).cast("int")
 

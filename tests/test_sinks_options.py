@@ -39,6 +39,15 @@ def test_parallelism(spark):
         with_parallelism(spark.range(10), 0)
 
 
+def test_console_prints_new_rows(spark, tmp_path):
+    from rowtide import console, read_lines
+
+    (tmp_path / "a.txt").write_text("one\n")
+    query = console(read_lines(spark, str(tmp_path), streaming=True), "shown").trigger(availableNow=True).start()
+    query.awaitTermination(60)
+    assert query.exception() is None and query.name == "shown"
+
+
 def test_capture_jobs(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     new = spark.createDataFrame([(1, "a"), (2, "c")], "k int, v string")

@@ -185,6 +185,20 @@ def test_crash_before_or_while_publishing_loses_nothing(spark, monkeypatch):
     assert stored(spark, spec) == [("1", "b", "d4", "01"), ("2", "b", "d4", "01"), ("3", "a", "d3", "01")]
 
 
+def test_old_versions_are_removed(spark):
+    from rowtide import remove_old_versions
+
+    spec = make(spark, "versions")
+    for i in range(3):
+        put(spark, spec, ("1", f"n{i}", "1", "d1", "01", i), ("2", "a", "1", f"d{i}", "02", i))
+    before = stored(spark, spec)
+    assert remove_old_versions(spark, spec) == 0  # too young
+    assert remove_old_versions(spark, spec, older_than_hours=-1) == 4
+    assert remove_old_versions(spark, spec, older_than_hours=-1) == 0
+    spark.catalog.refreshTable(spec.name)
+    assert stored(spark, spec) == before == [("1", "n2", "d1", "01"), ("2", "a", "d2", "02")]
+
+
 def test_spec_checks(spark):
     with pytest.raises(ValueError):
         TableSpec("t", "/x", ("id",), "m")
@@ -200,4 +214,4 @@ def test_only_touched_partitions_are_read(spark):
     touched = spark.table(spec.name).where("logday in ('d1','d3')").select("logday", "hh").collect()
     df = spark.table(spec.name).where(_in_partitions(touched, ["logday", "hh"]))
     assert df.select("_metadata.file_path").distinct().count() == 2
-    assert "PartitionFilters: [(" in df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in df._jdf.queryExecution().executedPlan().toString()
