@@ -1,5 +1,4 @@
 import base64
-import datetime as dt
 import json
 from decimal import Decimal
 

@@ -12,7 +12,6 @@ from rowtide import (
     fan_out,
     read_changes,
     read_lines,
-    stamp_partition,
     temporal_join,
     temporal_join_stream,
     use_rocksdb_state,
