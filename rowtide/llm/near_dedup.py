@@ -4,7 +4,9 @@ Texts with equal shingle sets form one class. Classes are spread over
 independent trees by selected minwise tokens. Small nodes are compared
 exhaustively; a member of a large node is compared with the node's leader, and
 a large node whose members are not all connected yet branches again by further
-minwise tokens. Candidates are confirmed on full shingle sets, so that every
+minwise tokens. A member with many candidates in its node gets the most similar
+ones first; the others follow in a later round unless they are connected by
+then. Candidates are confirmed on full shingle sets, so that every
 reported link is exact; the number of trees sets the recall.
 """
 
@@ -25,10 +27,14 @@ from .shingles import mixed, shingle_sets, slices
 TREES = 10
 #: Minwise tokens per set; a power of two.
 TOKENS = 32
-#: Children per member of a large node; more than 1 / 0.75.
+#: Most children per member and level of a large node. Two in a third of all
+#: cases, else one: 4/3 on average, the least for which a pair of similarity
+#: 0.75 is expected to stay together in one child.
 BRANCHES = 2
 #: Members of a node that are compared exhaustively; larger nodes branch.
-SMALL = 32
+SMALL = 1024
+#: Candidates that a member of a small node gets in the first round; twice as many in each later one.
+PARTNERS = 8
 #: Levels that branch; after them a large node loses its leader instead, level by level.
 LEVELS = TOKENS // BRANCHES
 #: Equal tokens that a candidate needs: pairs of similarity 0.75 have fewer with probability 1e-5.
@@ -120,25 +126,49 @@ def _rows(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, TOKENS + 4)
 
 
-def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    low, high = np.minimum(a, b), np.maximum(a, b)
-    keep = low < high
-    return pa.RecordBatch.from_arrays([pa.array(low[keep]), pa.array(high[keep])], names=["a", "b"])
+def _pairs(a: np.ndarray, b: np.ndarray, more: list[int] = ()) -> pa.RecordBatch:
+    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+    pairs = pairs[pairs[:, 0] < pairs[:, 1]]
+    none = pa.nulls(len(more), pa.int64())
+    columns = [pa.concat_arrays([pa.array(pairs[:, k].copy(), pa.int64()), none]) for k in (0, 1)]
+    columns.append(pa.concat_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(list(more), pa.int64())]))
+    return pa.RecordBatch.from_arrays(columns, names=["a", "b", "more"])
 
 
-def _small_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        members = batch.column("members")
-        at = members.offsets.to_numpy()
-        reps = members.values.field("rep").to_numpy()
-        sketches = _rows(members.values.field("sketch"))
-        for s, e in zip(at[:-1], at[1:]):
-            i, j = np.triu_indices(e - s, 1)
-            ok = _alike(sketches[s:e][i], sketches[s:e][j])
-            found.append((reps[s:e][i[ok]], reps[s:e][j[ok]]))
-        if found:
-            yield _pairs(*(np.concatenate(x) for x in zip(*found)))
+def _small_pairs(partners: int):
+    """Candidates (a, b) of small nodes, and as ``more`` the nodes that have others left."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two, more = [], [], []
+            members = batch.column("members")
+            at = members.offsets.to_numpy()
+            reps = members.values.field("rep").to_numpy()
+            labels = members.values.field("label").to_numpy()
+            sketches = _rows(members.values.field("sketch"))
+            for node, s, e in zip(batch.column("node").to_pylist(), at[:-1], at[1:]):
+                own, label, sketch = reps[s:e], labels[s:e], sketches[s:e]
+                if e - s <= 2 * partners:
+                    i, j = np.triu_indices(e - s, 1)
+                    ok = _alike(sketch[i], sketch[j]) & (label[i] != label[j])
+                    one.append(own[i[ok]])
+                    two.append(own[j[ok]])
+                    continue
+                left = False
+                for i in range(e - s):
+                    found = np.flatnonzero(_alike(sketch[i], sketch) & (label != label[i]))
+                    if len(found) > partners:
+                        equal = (sketch[found, 4:] == sketch[i, 4:]).sum(-1)
+                        found = found[np.argsort(-equal, kind="stable")[:partners]]
+                        left = True
+                    one.append(np.full(len(found), own[i]))
+                    two.append(own[found])
+                if left:
+                    more.append(node)
+            if one:
+                yield _pairs(np.concatenate(one), np.concatenate(two), more)
+
+    return run
 
 
 def _leader_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,8 +181,8 @@ def _leader_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _nodes(members: DataFrame, name: str) -> DataFrame:
-    """Members (node, root, rep, sketch) of nodes with at least two, with each
-    node's size and leader."""
+    """Members (node, root, rep, sketch, label) of nodes with at least two, with
+    each node's size and leader."""
     sizes = (
         members.groupBy("node")
         .agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("rep", "sketch")).alias("first"))
@@ -162,19 +192,18 @@ def _nodes(members: DataFrame, name: str) -> DataFrame:
     return saved(members.join(sizes, "node"), name)
 
 
-def _candidates(nodes: DataFrame) -> DataFrame:
+def _candidates(nodes: DataFrame, round: int) -> DataFrame:
     small = (
         nodes.where(F.col("size") <= SMALL)
         .groupBy("node")
-        .agg(F.collect_list(F.struct("rep", "sketch")).alias("members"))
-        .select("members")
-        .mapInArrow(_small_pairs, "a long, b long")
+        .agg(F.collect_list(F.struct("rep", "sketch", "label")).alias("members"))
+        .mapInArrow(_small_pairs(PARTNERS << round), "a long, b long, more long")
     )
     large = (
         nodes.where(F.col("size") > SMALL)
         .where("rep <> leader")
         .select("rep", "sketch", "leader", "leader_sketch")
-        .mapInArrow(_leader_pairs, "a long, b long")
+        .mapInArrow(_leader_pairs, "a long, b long, more long")
     )
     return small.unionByName(large).distinct()
 
@@ -193,24 +222,30 @@ def _children(large: DataFrame, classes: DataFrame, level: int) -> DataFrame:
     last the node without its leader."""
     if level > LEVELS:
         return large.where("rep <> leader").select(
-            F.xxhash64("node", F.lit(level)).alias("node"), "root", "rep", "sketch"
+            F.xxhash64("node", F.lit(level)).alias("node"), "root", "rep", "sketch", "label"
         )
     step = F.pmod(F.shiftright("root", 8), F.lit(TOKENS // 2)) * 2 + 1
-    places = F.array(*[F.lit((level - 1) * BRANCHES + j) for j in range(BRANCHES)])
+    second = F.pmod(F.shiftright("root", 16) + level, F.lit(3)) == 0
+    first = (level - 1) * BRANCHES
+    places = F.when(second, F.array(F.lit(first), F.lit(first + 1))).otherwise(F.array(F.lit(first)))
     tokens = classes.select("rep", "sketch", "tokens")
     return (
-        large.select("node", "root", "rep", "sketch")
+        large.select("node", "root", "rep", "sketch", "label")
         .join(tokens, ["rep", "sketch"])
-        .withColumn("step", F.explode(places))
-        .withColumn("place", F.pmod(F.col("root") + F.col("step") * step, F.lit(TOKENS)).cast("int"))
+        .withColumn("nr", F.explode(places))
+        .withColumn("place", F.pmod(F.col("root") + F.col("nr") * step, F.lit(TOKENS)).cast("int"))
         .select(
-            F.xxhash64("node", "place", F.get("tokens", F.col("place"))).alias("node"), "root", "rep", "sketch"
+            F.xxhash64("node", "place", F.get("tokens", F.col("place"))).alias("node"),
+            "root",
+            "rep",
+            "sketch",
+            "label",
         )
     )
 
 
-def links(docs: DataFrame, signed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The classes (digest, rep) and the links (a, b) that connect them."""
+def linked_classes(docs: DataFrame, signed: DataFrame) -> DataFrame:
+    """The classes of equal sets (digest, rep), each with its component."""
     classes = saved(
         signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("digest")
@@ -218,43 +253,49 @@ def links(docs: DataFrame, signed: DataFrame) -> tuple[DataFrame, DataFrame]:
         "classes",
     )
     trees = F.posexplode(F.slice("tokens", 1, TREES)).alias("tree", "token")
-    members = classes.select("rep", "sketch", trees).select(
-        F.xxhash64("tree", "token").alias("node"), "rep", "sketch"
-    )
-    nodes = _nodes(members.withColumn("root", F.col("node")), "nodes")
-    pairs = saved(_candidates(nodes), "pairs")
+    roots = classes.select("rep", "sketch", trees).select(F.xxhash64("tree", "token").alias("node"), "rep", "sketch")
+    nodes = _nodes(roots.withColumn("root", F.col("node")).withColumn("label", F.col("rep")), "nodes")
+    found = saved(_candidates(nodes, 0), "candidates")
+    pairs = found.where("more IS NULL").select("a", "b")
     needed = (
         pairs.select(F.col("a").alias("doc_id"))
         .unionByName(pairs.select(F.col("b").alias("doc_id")))
         .unionByName(nodes.where(F.col("size") > SMALL).select(F.col("rep").alias("doc_id")))
         .distinct()
     )
-    needed = saved(needed, "needed")
-    sets = saved(full_sets(docs.select("doc_id", "text").join(needed, "doc_id", "left_semi")), "sets")
-    tried, found, level = pairs, saved(_confirmed(pairs, sets), "links"), 1
+    sets = full_sets(docs.select("doc_id", "text").join(saved(needed, "needed"), "doc_id", "left_semi"))
+    sets = saved(sets, "sets")
+    tried, links, round = pairs, saved(_confirmed(pairs, sets), "links"), 0
     while True:
-        large = nodes.where(F.col("size") > SMALL)
-        if large.isEmpty():
-            return classes, found
-        labels = components(found).select(F.col("vertex").alias("rep"), "component")
-        mixed_nodes = (
-            large.select("node", "rep")
-            .join(labels, "rep", "left")
-            .groupBy("node")
-            .agg(
-                F.min(F.coalesce("component", "rep")).alias("low"), F.max(F.coalesce("component", "rep")).alias("high")
-            )
+        labels = saved(components(links).select(F.col("vertex").alias("rep"), "component"), "labels")
+        # Nodes with work left: large ones, and small ones with candidates left.
+        open_nodes = nodes.where(F.col("size") > SMALL).unionByName(
+            nodes.join(found.where("more IS NOT NULL").select(F.col("more").alias("node")), "node", "left_semi")
+        )
+        open_nodes = saved(
+            open_nodes.join(labels, "rep", "left")
+            .withColumn("label", F.coalesce("component", "rep"))
+            .drop("component"),
+            "open",
+        )
+        unsettled = (
+            open_nodes.groupBy("node")
+            .agg(F.min("label").alias("low"), F.max("label").alias("high"))
             .where("low <> high")
             .select("node")
         )
-        large = saved(large.join(mixed_nodes, "node", "left_semi"), "large")
-        if large.isEmpty():
-            return classes, found
-        nodes = _nodes(_children(large, classes, level), "nodes")
-        pairs = saved(_candidates(nodes).join(tried, ["a", "b"], "left_anti"), "pairs")
+        open_nodes = saved(open_nodes.join(unsettled, "node", "left_semi"), "unsettled")
+        if open_nodes.isEmpty():
+            return classes.select("digest", "rep").join(labels, "rep", "left")
+        round += 1
+        small = open_nodes.where(F.col("size") <= SMALL)
+        large = _children(open_nodes.where(F.col("size") > SMALL), classes, round)
+        nodes = _nodes(small.select(*large.columns).unionByName(large), "nodes")
+        found = saved(_candidates(nodes, round), "candidates")
+        pairs = found.where("more IS NULL").select("a", "b")
+        pairs = saved(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = tried.unionByName(pairs)
-        found = found.unionByName(saved(_confirmed(pairs, sets), "links"))
-        level += 1
+        links = links.unionByName(saved(_confirmed(pairs, sets), "links"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -269,9 +310,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     with a null component_id. Other columns are ignored.
     """
     signed = saved(signatures(docs), "signatures")
-    classes, found = links(docs, signed)
-    labels = components(found).select(F.col("vertex").alias("rep"), "component")
-    labelled = classes.select("digest", "rep").join(labels, "rep", "left")
+    labelled = linked_classes(docs, signed)
     labelled = labelled.select("digest", F.coalesce("component", "rep").alias("component_id"))
     linked = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "n_shingles", "digest")
     alone = signed.where("digest IS NULL OR doc_id IS NULL").select("doc_id", "n_shingles")
