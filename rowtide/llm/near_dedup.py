@@ -4,10 +4,10 @@ Texts with equal shingle sets form one class. Classes are spread over
 independent trees by selected minwise tokens. Small nodes are compared
 exhaustively; a member of a large node is compared with the node's leader, and
 a large node whose members are not all connected yet branches again by further
-minwise tokens. A member with many candidates in its node gets the most similar
-ones first; the others follow in a later round unless they are connected by
-then. Candidates are confirmed on full shingle sets, so that every
-reported link is exact; the number of trees sets the recall.
+minwise tokens. In crowded small nodes the most similar candidates come first;
+if they don't connect the node, its full sets are compared in one task, which
+reports a spanning forest of the links only. Every reported link is confirmed on
+full shingle sets; the number of trees sets the recall.
 """
 
 from __future__ import annotations
@@ -31,9 +31,10 @@ TOKENS = 32
 #: cases, else one: 4/3 on average, the least for which a pair of similarity
 #: 0.75 is expected to stay together in one child.
 BRANCHES = 2
-#: Members of a node that are compared exhaustively; larger nodes branch.
-SMALL = 1024
-#: Candidates that a member of a small node gets in the first round; twice as many in each later one.
+#: Members, and shingles of all members (8 bytes each), of a node that is
+#: compared exhaustively; larger nodes branch.
+SMALL, SMALL_SHINGLES = 2048, 4 << 20
+#: Candidates of a member beyond which its node counts as crowded.
 PARTNERS = 8
 #: Levels that branch; after them a large node loses its leader instead, level by level.
 LEVELS = TOKENS // BRANCHES
@@ -135,40 +136,70 @@ def _pairs(a: np.ndarray, b: np.ndarray, more: list[int] = ()) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays(columns, names=["a", "b", "more"])
 
 
-def _small_pairs(partners: int):
-    """Candidates (a, b) of small nodes, and as ``more`` the nodes that have others left."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            one, two, more = [], [], []
-            members = batch.column("members")
-            at = members.offsets.to_numpy()
-            reps = members.values.field("rep").to_numpy()
-            labels = members.values.field("label").to_numpy()
-            sketches = _rows(members.values.field("sketch"))
-            for node, s, e in zip(batch.column("node").to_pylist(), at[:-1], at[1:]):
-                own, label, sketch = reps[s:e], labels[s:e], sketches[s:e]
-                if e - s <= 2 * partners:
-                    i, j = np.triu_indices(e - s, 1)
-                    ok = _alike(sketch[i], sketch[j]) & (label[i] != label[j])
-                    one.append(own[i[ok]])
-                    two.append(own[j[ok]])
-                    continue
-                left = False
-                for i in range(e - s):
-                    found = np.flatnonzero(_alike(sketch[i], sketch) & (label != label[i]))
-                    if len(found) > partners:
-                        equal = (sketch[found, 4:] == sketch[i, 4:]).sum(-1)
-                        found = found[np.argsort(-equal, kind="stable")[:partners]]
-                        left = True
-                    one.append(np.full(len(found), own[i]))
-                    two.append(own[found])
-                if left:
-                    more.append(node)
-            if one:
-                yield _pairs(np.concatenate(one), np.concatenate(two), more)
-
-    return run
+def _small_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidates (a, b) of small nodes, the best few of each member, and as
+    ``more`` the nodes that have others."""
+    for batch in batches:
+        one, two, more = [], [], []
+        members = batch.column("members")
+        at = members.offsets.to_numpy()
+        reps = members.values.field("rep").to_numpy()
+        sketches = _rows(members.values.field("sketch"))
+        for node, s, e in zip(batch.column("node").to_pylist(), at[:-1], at[1:]):
+            own, sketch = reps[s:e], sketches[s:e]
+            if e - s <= 2 * PARTNERS:
+                i, j = np.triu_indices(e - s, 1)
+                ok = _alike(sketch[i], sketch[j])
+                one.append(own[i[ok]])
+                two.append(own[j[ok]])
+                continue
+            crowded = False
+            for i in range(e - s):
+                alike = _alike(sketch[i], sketch)
+                alike[i] = False
+                found = np.flatnonzero(alike)
+                if len(found) > PARTNERS:
+                    equal = (sketch[found, 4:] == sketch[i, 4:]).sum(-1)
+                    found = found[np.argsort(-equal, kind="stable")[:PARTNERS]]
+                    crowded = True
+                one.append(np.full(len(found), own[i]))
+                two.append(own[found])
+            if crowded:
+                more.append(node)
+        if one:
+            yield _pairs(np.concatenate(one), np.concatenate(two), more)
+
+
+def _spanning_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compares all members of each node on their full sets; the links (a, b)
+    that connect members whose labels were not connected before."""
+    for batch in batches:
+        members = batch.column("members")
+        bounds = members.offsets.to_numpy()
+        fields = members.values
+        reps, labels = (fields.field(c).to_numpy() for c in ("rep", "label"))
+        lists = fields.field("items")
+        starts, items = lists.offsets.to_numpy(), lists.values.to_numpy()
+        links = []
+        for s, e in zip(bounds[:-1], bounds[1:]):
+            known, ids = np.unique(items[starts[s] : starts[e]], return_inverse=True)
+            at = starts[s : e + 1] - starts[s]
+            sizes = np.diff(at)
+            label = labels[s:e].copy()
+            seen = np.zeros(len(known), np.int64)
+            for i in range(e - s):
+                seen[ids[at[i] : at[i + 1]]] = 1
+                both = np.add.reduceat(seen[ids], at[:-1])
+                seen[ids[at[i] : at[i + 1]]] = 0
+                near = 100 * both >= PERCENT * (sizes + sizes[i] - both)
+                for j in np.flatnonzero(near & (label != label[i])):
+                    if label[j] != label[i]:
+                        links.append((reps[s + i], reps[s + j]))
+                        label[label == label[j]] = label[i]
+        if links:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"]
+            )
 
 
 def _leader_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,31 +212,46 @@ def _leader_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _nodes(members: DataFrame, name: str) -> DataFrame:
-    """Members (node, root, rep, sketch, label) of nodes with at least two, with
-    each node's size and leader."""
+    """Members (node, root, rep, n, sketch) of nodes with at least two, with
+    each node's leader, and whether it is small."""
+    small = (F.count(F.lit(1)) <= SMALL) & (F.sum("n") <= SMALL_SHINGLES)
     sizes = (
         members.groupBy("node")
-        .agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("rep", "sketch")).alias("first"))
+        .agg(F.count(F.lit(1)).alias("size"), small.alias("small"), F.min(F.struct("rep", "sketch")).alias("first"))
         .where("size > 1")
-        .select("node", "size", F.col("first.rep").alias("leader"), F.col("first.sketch").alias("leader_sketch"))
+        .select("node", "small", F.col("first.rep").alias("leader"), F.col("first.sketch").alias("leader_sketch"))
     )
     return saved(members.join(sizes, "node"), name)
 
 
-def _candidates(nodes: DataFrame, round: int) -> DataFrame:
+def _candidates(nodes: DataFrame) -> DataFrame:
     small = (
-        nodes.where(F.col("size") <= SMALL)
+        nodes.where("small")
         .groupBy("node")
-        .agg(F.collect_list(F.struct("rep", "sketch", "label")).alias("members"))
-        .mapInArrow(_small_pairs(PARTNERS << round), "a long, b long, more long")
+        .agg(F.collect_list(F.struct("rep", "sketch")).alias("members"))
+        .mapInArrow(_small_pairs, "a long, b long, more long")
     )
-    large = (
-        nodes.where(F.col("size") > SMALL)
-        .where("rep <> leader")
+    return small.unionByName(_to_leaders(nodes)).distinct()
+
+
+def _to_leaders(nodes: DataFrame) -> DataFrame:
+    return (
+        nodes.where("NOT small AND rep <> leader")
         .select("rep", "sketch", "leader", "leader_sketch")
         .mapInArrow(_leader_pairs, "a long, b long, more long")
     )
-    return small.unionByName(large).distinct()
+
+
+def _compared(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links of small nodes (node, rep, label), from their full sets."""
+    return (
+        nodes.select("node", "rep", "label")
+        .join(sets, "rep")
+        .groupBy("node")
+        .agg(F.collect_list(F.struct("rep", "label", "items")).alias("members"))
+        .select("members")
+        .mapInArrow(_spanning_links, "a long, b long")
+    )
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -222,80 +268,76 @@ def _children(large: DataFrame, classes: DataFrame, level: int) -> DataFrame:
     last the node without its leader."""
     if level > LEVELS:
         return large.where("rep <> leader").select(
-            F.xxhash64("node", F.lit(level)).alias("node"), "root", "rep", "sketch", "label"
+            F.xxhash64("node", F.lit(level)).alias("node"), "root", "rep", "n", "sketch"
         )
     step = F.pmod(F.shiftright("root", 8), F.lit(TOKENS // 2)) * 2 + 1
     second = F.pmod(F.shiftright("root", 16) + level, F.lit(3)) == 0
     first = (level - 1) * BRANCHES
     places = F.when(second, F.array(F.lit(first), F.lit(first + 1))).otherwise(F.array(F.lit(first)))
-    tokens = classes.select("rep", "sketch", "tokens")
     return (
-        large.select("node", "root", "rep", "sketch", "label")
-        .join(tokens, ["rep", "sketch"])
+        large.select("node", "root", "rep", "n", "sketch")
+        .join(classes.select("rep", "sketch", "tokens"), ["rep", "sketch"])
         .withColumn("nr", F.explode(places))
         .withColumn("place", F.pmod(F.col("root") + F.col("nr") * step, F.lit(TOKENS)).cast("int"))
         .select(
-            F.xxhash64("node", "place", F.get("tokens", F.col("place"))).alias("node"),
-            "root",
-            "rep",
-            "sketch",
-            "label",
+            F.xxhash64("node", "place", F.get("tokens", F.col("place"))).alias("node"), "root", "rep", "n", "sketch"
         )
     )
 
 
+def _unsettled(nodes: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The nodes whose members (with their ``label``) are not all connected, and
+    the labels: (rep, component) of all that have links."""
+    labels = saved(components(links).select(F.col("vertex").alias("rep"), "component"), "labels")
+    labelled = nodes.join(labels, "rep", "left").withColumn("label", F.coalesce("component", "rep"))
+    labelled = saved(labelled.drop("component"), "labelled")
+    apart = labelled.groupBy("node").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    apart = apart.where("low <> high").select("node")
+    return saved(labelled.join(apart, "node", "left_semi"), "unsettled"), labels
+
+
 def linked_classes(docs: DataFrame, signed: DataFrame) -> DataFrame:
     """The classes of equal sets (digest, rep), each with its component."""
     classes = saved(
         signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch")),
+        .agg(
+            F.min("doc_id").alias("rep"),
+            F.first("n_shingles").alias("n"),
+            F.first("tokens").alias("tokens"),
+            F.first("sketch").alias("sketch"),
+        ),
         "classes",
     )
     trees = F.posexplode(F.slice("tokens", 1, TREES)).alias("tree", "token")
-    roots = classes.select("rep", "sketch", trees).select(F.xxhash64("tree", "token").alias("node"), "rep", "sketch")
-    nodes = _nodes(roots.withColumn("root", F.col("node")).withColumn("label", F.col("rep")), "nodes")
-    found = saved(_candidates(nodes, 0), "candidates")
+    roots = classes.select("rep", "n", "sketch", trees)
+    roots = roots.select(F.xxhash64("tree", "token").alias("node"), "rep", "n", "sketch")
+    nodes = _nodes(roots.withColumn("root", F.col("node")), "nodes")
+    found = saved(_candidates(nodes), "candidates")
     pairs = found.where("more IS NULL").select("a", "b")
-    needed = (
-        pairs.select(F.col("a").alias("doc_id"))
-        .unionByName(pairs.select(F.col("b").alias("doc_id")))
-        .unionByName(nodes.where(F.col("size") > SMALL).select(F.col("rep").alias("doc_id")))
-        .distinct()
-    )
-    sets = full_sets(docs.select("doc_id", "text").join(saved(needed, "needed"), "doc_id", "left_semi"))
-    sets = saved(sets, "sets")
-    tried, links, round = pairs, saved(_confirmed(pairs, sets), "links"), 0
+    crowded = found.where("more IS NOT NULL").select(F.col("more").alias("node"))
+    # Nodes that may have links beyond these candidates.
+    open_nodes = nodes.where("NOT small").unionByName(nodes.where("small").join(crowded, "node", "left_semi"))
+    needed = [pairs.select(F.col(c).alias("doc_id")) for c in ("a", "b")]
+    needed = needed[0].unionByName(needed[1]).unionByName(open_nodes.select(F.col("rep").alias("doc_id")))
+    needed = saved(needed.distinct(), "needed")
+    sets = saved(full_sets(docs.select("doc_id", "text").join(needed, "doc_id", "left_semi")), "sets")
+    links = saved(_confirmed(pairs, sets), "links")
+    level = 0
     while True:
-        labels = saved(components(links).select(F.col("vertex").alias("rep"), "component"), "labels")
-        # Nodes with work left: large ones, and small ones with candidates left.
-        open_nodes = nodes.where(F.col("size") > SMALL).unionByName(
-            nodes.join(found.where("more IS NOT NULL").select(F.col("more").alias("node")), "node", "left_semi")
-        )
-        open_nodes = saved(
-            open_nodes.join(labels, "rep", "left")
-            .withColumn("label", F.coalesce("component", "rep"))
-            .drop("component"),
-            "open",
-        )
-        unsettled = (
-            open_nodes.groupBy("node")
-            .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-            .where("low <> high")
-            .select("node")
-        )
-        open_nodes = saved(open_nodes.join(unsettled, "node", "left_semi"), "unsettled")
+        open_nodes, labels = _unsettled(open_nodes, links)
         if open_nodes.isEmpty():
             return classes.select("digest", "rep").join(labels, "rep", "left")
-        round += 1
-        small = open_nodes.where(F.col("size") <= SMALL)
-        large = _children(open_nodes.where(F.col("size") > SMALL), classes, round)
-        nodes = _nodes(small.select(*large.columns).unionByName(large), "nodes")
-        found = saved(_candidates(nodes, round), "candidates")
-        pairs = found.where("more IS NULL").select("a", "b")
-        pairs = saved(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = tried.unionByName(pairs)
-        links = links.unionByName(saved(_confirmed(pairs, sets), "links"))
+        links = links.unionByName(saved(_compared(open_nodes.where("small"), sets), "links"))
+        large = open_nodes.where("NOT small")
+        if not large.isEmpty():
+            level += 1
+            open_nodes = _nodes(_children(large, classes, level), "nodes")
+            pairs = _to_leaders(open_nodes).select("a", "b").distinct()
+            links = links.unionByName(saved(_confirmed(pairs, sets), "links"))
+        else:
+            # All links are known; one more pass gives the labels.
+            open_nodes = large
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
