@@ -6,13 +6,48 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, near_dedup, packing
+from . import byte_bpe, exact_dedup, html_text, line_dedup, link_graph, metric_tree, near_dedup, packing, secrets, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/pages.parquet")
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.drop_repeated_lines(documents(spark, sf_dir))
+    return cleaned.select(
+        "doc_id",
+        "n_lines",
+        F.size("gone").cast("long").alias("n_removed"),
+        F.array_join(F.col("gone").cast("array<string>"), ",").alias("removed"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
+    )
+
+
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(pages(spark, sf_dir))
+
+
+URL_RULES = [
+    link_graph.Rule("net", "/", "block"),
+    link_graph.Rule("example.net", "/en/", "allow"),
+    link_graph.Rule("example.com", "/de/", "block"),
+    link_graph.Rule("org", "/fr/", "allow"),
+]
+
+
+def op3_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_graph.judged(pages(spark, sf_dir), URL_RULES)
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(documents(spark, sf_dir))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(documents(spark, sf_dir))
 
@@ -21,6 +56,20 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.fit(documents(spark, sf_dir), labels, ~toxicity.held_out())
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged(documents(spark, sf_dir), toxicity_model(spark, sf_dir))
+
+
+def op8_metric_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return metric_tree.top_inner_products(vectors, "vec_id % 50 = 0")
+
+
 def packed_pieces(docs: DataFrame) -> DataFrame:
     pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select(
@@ -44,11 +93,24 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_html_text": op2_html_text,
+    "op3_link_graph": op3_link_graph,
+    "op4_secrets": op4_secrets,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_near_dedup": op6_near_dedup,
+    "op7_toxicity": op7_toxicity,
+    "op8_metric_tree": op8_metric_tree,
     "op9_packing": op9_packing,
     "op10_byte_bpe": op10_byte_bpe,
+    "pipeline": pipeline,
 }
 
 CHECKS = {
@@ -56,5 +118,20 @@ CHECKS = {
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+""",
+    "op8_metric_tree": """
+WITH whole AS (
+    SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.v, c.v)]) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """,
 }
