@@ -14,6 +14,7 @@ bounded sample of labelled rows; every text is scored whole.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -45,7 +46,6 @@ THRESHOLD = 0.7
 #: Words that a worker remembers.
 REMEMBERED = 2_000_000
 
-SENTENCE = re.compile(r"[.!?\n]+(?:\s|$)|\n")
 LETTERS = re.compile(r"[^\W\d_]+")
 
 _CODE = np.zeros(256, np.uint8)
@@ -175,40 +175,40 @@ class Featurizer:
                 self.cold.add(w)
 
     def texts(self, texts: list[str]) -> list[np.ndarray]:
-        """For each text the features of its sentences that have any."""
+        """For each text the features of its sentences that have any. A sentence
+        ends with a word that ends in a full stop, exclamation or question mark."""
         split = [t.lower().split() for t in texts]
-        cold = self.cold
+        cold, hot = self.cold, self.hot
         self.learn({w for ws in split for w in ws if w not in cold and len(w) > 1})
-        parts = []
-        for text, ws in zip(texts, split):
-            warm = [i for i, w in enumerate(ws) if w not in cold]
-            spelled = any(len(ws[i]) == 1 == len(ws[i + 1]) == len(ws[i + 2]) for i in warm if i + 2 < len(ws))
-            parts.append(self.sentences(text) if spelled or any(len(ws[i]) > 1 for i in warm) else [])
-        # Sentence marks cut some words anew.
-        self.learn({w for sentences in parts for words in sentences for w in words if w not in cold})
+        warm = [[(i, w) for i, w in enumerate(ws) if w not in cold] for ws in split]
+        apart = [self.spelled(found) for found in warm]
+        self.learn({w for found in apart for _, w in found if w not in cold})
         out = []
-        for sentences in parts:
-            rows = [[self.hot[w] for w in words if w in self.hot] for words in sentences]
-            rows = [np.max(r, axis=0) for r in rows if r]
+        for ws, found, letters in zip(split, warm, apart):
+            found = [(i, hot[w]) for i, w in [*found, *letters] if w in hot]
+            rows = [row for _, row in found]
+            if len(found) > 1:
+                ends = [i for i, w in enumerate(ws) if w[-1] in ".!?"]
+                sentences: dict[int, list[np.ndarray]] = {}
+                for i, row in found:
+                    sentences.setdefault(bisect_left(ends, i), []).append(row)
+                rows = [r[0] if len(r) == 1 else np.max(r, axis=0) for r in sentences.values()]
             out.append(np.array(rows).reshape(-1, len(self.landmarks.words)))
         return out
 
     @staticmethod
-    def sentences(text: str) -> list[list[str]]:
-        """The words of each sentence; letters set apart are one word."""
-        found = []
-        for sentence in SENTENCE.split(text.lower()):
-            words, apart = [], ""
-            for w in [*sentence.split(), "  "]:
-                if len(w) == 1:
-                    apart += w
-                    continue
-                if len(apart) >= LENGTH:
-                    words.append(apart)
-                apart = ""
-                words.append(w)
-            found.append(words)
-        return found
+    def spelled(found: list[tuple[int, str]]) -> list[tuple[int, str]]:
+        """Words whose letters are set apart, with the place of the first."""
+        words, start, letters, last = [], 0, "", -9
+        for i, w in [*found, (-9, "")]:
+            if len(w) == 1 and i == last + 1:
+                letters += w
+            else:
+                if len(letters) >= LENGTH:
+                    words.append((start, letters))
+                start, letters = i, w if len(w) == 1 else ""
+            last = i
+        return words
 
 
 @dataclass
