@@ -20,17 +20,14 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = saved(
-            both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(),
-            "large",
-        )
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(lowest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = saved(
             moved.unionByName(lowest.select("a", F.col("m").alias("b"))).where("a <> b").distinct(), "edges"
         )
         sums = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if sums == state:
+        if sums == state or not sums[0]:
             break
         state = sums
     roots = edges.select(F.col("b").alias("vertex")).distinct()

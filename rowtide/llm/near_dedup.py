@@ -33,7 +33,7 @@ TOKENS = 32
 BRANCHES = 2
 #: Members, and shingles of all members (8 bytes each), of a node that is
 #: compared exhaustively; larger nodes branch.
-SMALL, SMALL_SHINGLES = 2048, 4 << 20
+SMALL, SMALL_SHINGLES = 4096, 4 << 20
 #: Candidates of a member beyond which its node counts as crowded.
 PARTNERS = 8
 #: Levels that branch; after them a large node loses its leader instead, level by level.
@@ -285,15 +285,18 @@ def _children(large: DataFrame, classes: DataFrame, level: int) -> DataFrame:
     )
 
 
-def _unsettled(nodes: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The nodes whose members (with their ``label``) are not all connected, and
-    the labels: (rep, component) of all that have links."""
-    labels = saved(components(links).select(F.col("vertex").alias("rep"), "component"), "labels")
+def _labels(links: DataFrame) -> DataFrame:
+    """(rep, component) of all that have links."""
+    return saved(components(links).select(F.col("vertex").alias("rep"), "component"), "labels")
+
+
+def _unsettled(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """The nodes whose members (with their ``label``) are not all connected."""
     labelled = nodes.join(labels, "rep", "left").withColumn("label", F.coalesce("component", "rep"))
     labelled = saved(labelled.drop("component"), "labelled")
     apart = labelled.groupBy("node").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     apart = apart.where("low <> high").select("node")
-    return saved(labelled.join(apart, "node", "left_semi"), "unsettled"), labels
+    return saved(labelled.join(apart, "node", "left_semi"), "unsettled")
 
 
 def linked_classes(docs: DataFrame, signed: DataFrame) -> DataFrame:
@@ -322,22 +325,23 @@ def linked_classes(docs: DataFrame, signed: DataFrame) -> DataFrame:
     needed = needed[0].unionByName(needed[1]).unionByName(open_nodes.select(F.col("rep").alias("doc_id")))
     needed = saved(needed.distinct(), "needed")
     sets = saved(full_sets(docs.select("doc_id", "text").join(needed, "doc_id", "left_semi")), "sets")
-    links = saved(_confirmed(pairs, sets), "links")
+    labels = _labels(saved(_confirmed(pairs, sets), "links"))
     level = 0
     while True:
-        open_nodes, labels = _unsettled(open_nodes, links)
+        open_nodes = _unsettled(open_nodes, labels)
         if open_nodes.isEmpty():
             return classes.select("digest", "rep").join(labels, "rep", "left")
-        links = links.unionByName(saved(_compared(open_nodes.where("small"), sets), "links"))
+        new = saved(_compared(open_nodes.where("small"), sets), "links")
         large = open_nodes.where("NOT small")
-        if not large.isEmpty():
+        if large.isEmpty():
+            open_nodes = large  # all links are known
+        else:
             level += 1
             open_nodes = _nodes(_children(large, classes, level), "nodes")
             pairs = _to_leaders(open_nodes).select("a", "b").distinct()
-            links = links.unionByName(saved(_confirmed(pairs, sets), "links"))
-        else:
-            # All links are known; one more pass gives the labels.
-            open_nodes = large
+            new = new.unionByName(saved(_confirmed(pairs, sets), "links"))
+        if not new.isEmpty():
+            labels = _labels(labels.select(F.col("rep").alias("a"), F.col("component").alias("b")).unionByName(new))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
