@@ -193,7 +193,7 @@ class Featurizer:
                 for i, row in found:
                     sentences.setdefault(bisect_left(ends, i), []).append(row)
                 rows = [r[0] if len(r) == 1 else np.max(r, axis=0) for r in sentences.values()]
-            out.append(np.array(rows).reshape(-1, len(self.landmarks.words)))
+            out.append(np.array(rows) if rows else np.zeros((0, len(self.landmarks.words))))
         return out
 
     @staticmethod
