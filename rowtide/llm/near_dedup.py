@@ -35,7 +35,7 @@ BRANCHES = 2
 #: compared exhaustively; larger nodes branch.
 SMALL, SMALL_SHINGLES = 4096, 4 << 20
 #: Candidates of a member beyond which its node counts as crowded.
-PARTNERS = 8
+PARTNERS = 4
 #: Levels that branch; after them a large node loses its leader instead, level by level.
 LEVELS = TOKENS // BRANCHES
 #: Equal tokens that a candidate needs: pairs of similarity 0.75 have fewer with probability 1e-5.
