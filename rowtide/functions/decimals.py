@@ -10,9 +10,21 @@ TWO_POW_63 = "9223372036854775808"
 SPARE_SIGN_BYTES = r"^(?:(?:00(?=[0-7]))+|(?:FF(?=[89A-F]))+)"
 
 
-def decimal_text(c: Column) -> Column:
-    """The exact decimal text, trailing zeros kept."""
-    return c.cast("string")
+def decimal_text(c: Column, dtype: T.DecimalType | None = None) -> Column:
+    """The exact decimal text, trailing zeros kept.
+
+    With ``dtype`` it is plain under every session setting: without ANSI mode
+    a cast writes small values with an exponent.
+    """
+    text = c.cast("string")
+    if dtype is None:
+        return text
+    # The unscaled digits are those before the exponent, without point and sign.
+    digits = F.regexp_replace(text, "E.*$|[.-]", "")
+    digits = F.lpad(digits, dtype.scale + 1, "0")
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    plain = F.concat(sign, F.lit("0."), F.substring(digits, 2, dtype.scale))
+    return F.when(F.contains(text, F.lit("E")), plain).otherwise(text)
 
 
 def decimal_bytes(c: Column, dtype: T.DecimalType) -> Column:
@@ -22,7 +34,7 @@ def decimal_bytes(c: Column, dtype: T.DecimalType) -> Column:
     up to 18 digits the unscaled value fits one BIGINT, wider values are cut
     into a high and a low 64-bit word.
     """
-    digits = F.regexp_replace(c.cast("string"), r"\.", "")
+    digits = F.regexp_replace(decimal_text(c, dtype), r"\.", "")
     if dtype.precision <= 18:
         word_hex = F.lpad(F.hex(digits.cast("bigint")), 16, "0")
     else:
@@ -55,4 +67,4 @@ def encode_decimal(c: Column, dtype: T.DataType, mode: str = "string") -> Column
         raise ValueError(f"decimal mode must be 'string' or 'precise', not {mode!r}")
     if not isinstance(dtype, T.DecimalType):
         return c
-    return decimal_text(c) if mode == "string" else decimal_bytes(c, dtype)
+    return decimal_text(c, dtype) if mode == "string" else decimal_bytes(c, dtype)
