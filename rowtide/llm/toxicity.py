@@ -13,6 +13,7 @@ bounded sample of labelled rows; every text is scored whole.
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -32,8 +33,8 @@ TOXIC_ROWS, CLEAN_ROWS = 1000, 3000
 COPY_TOKENS = 6
 #: Landmarks at most: insults, and clean words like them.
 INSULTS, LOOKALIKES = 48, 16
-#: Log-likelihood ratio that a word's counts in the classes must reach for a landmark.
-LEAST_RATIO = 15.0
+#: Words expected to pass as landmarks by chance, over the whole vocabulary.
+CHANCE_WORDS = 0.05
 #: Weight of a letter of a matched subsequence, gaps included, and its length.
 DECAY, LENGTH = 0.6, 3
 #: Letters of a word compared at once; longer words are cut into overlapping windows.
@@ -312,14 +313,16 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column) -> Model:
     seen = sample.mapInArrow(_in_context, "unit string, before string, toxic int").distinct()
     seen = seen.where(F.length("unit").between(LENGTH, WIDTH - 1)).groupBy("unit")
     seen = seen.agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
-    # Copies repeat a context and count once.
+    seen = saved(seen, "words")  # copies repeat a context and count once
+    # Twice the log-likelihood ratio exceeds x by chance with a probability of about exp(-x / 2).
+    least_ratio = 2 * math.log(max(1, seen.count()) / CHANCE_WORDS)
     all_seen = F.col("bad") + F.col("good")
     ratio = 2 * F.col("bad") * F.log(F.col("bad") / (all_seen * base))
     ratio += F.when(F.col("good") > 0, 2 * F.col("good") * F.log(F.col("good") / (all_seen * (1 - base)))).otherwise(0)
     worst = (
         seen.where(F.col("bad") > 2 * all_seen * base)
         .withColumn("ratio", ratio)
-        .where(F.col("ratio") >= LEAST_RATIO)
+        .where(F.col("ratio") >= least_ratio)
         .orderBy(F.desc("ratio"), "unit")
         .limit(INSULTS)
     )
