@@ -178,6 +178,13 @@ CHECKS: dict[str, str] = {
                     ELSE db || '.' || tb || '.' || CASE WHEN deleted THEN '' ELSE id END END
                  AS partition_key, count(*) AS messages
         FROM log GROUP BY 1 UNION ALL SELECT '0', count(*) FROM log""",
+    "message_order": _with(LOG) + """, keyed AS (
+        SELECT CASE WHEN malformed THEN '..'
+                    ELSE db || '.' || tb || '.' || CASE WHEN deleted THEN '' ELSE id END END
+                 AS partition_key, seq FROM log)
+        SELECT partition_key, seq,
+               CAST(row_number() OVER (PARTITION BY partition_key ORDER BY seq) AS INTEGER) AS place
+        FROM keyed""",
     "latest_union": _with(LOG)
     + _latest(
         "tb_union", "id", "modify_time DESC, seq DESC", "seq, id, name, create_time, modify_time"

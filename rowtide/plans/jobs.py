@@ -52,15 +52,23 @@ def select_changes(changes: DataFrame, dbs: str, tables: str) -> DataFrame:
     return include_tables(parsed, dbs, tables).select(*changes.columns)
 
 
-def capture_to_topic(changes: DataFrame, parallel: int = 1, key: Column | None = None) -> DataFrame:
-    """Events as Kafka message columns, spread over ``parallel`` writers."""
-    return to_kafka_columns(with_parallelism(changes, parallel), key)
+def capture_to_topic(
+    changes: DataFrame, parallel: int | None = None, key: Column | None = None, seq: str | None = None
+) -> DataFrame:
+    """Events as Kafka message columns, spread over ``parallel`` writers if
+    given. With a key its changes go through one writer, in the order of ``seq``."""
+    spread = with_parallelism(changes, parallel, key, seq) if parallel else changes
+    return to_kafka_columns(spread, key)
 
 
 def capture_to_shards(
-    changes: DataFrame, parallel: int = 1, columns: Sequence[str] = (), constant: str | None = None
+    changes: DataFrame,
+    parallel: int | None = None,
+    columns: Sequence[str] = (),
+    constant: str | None = None,
 ) -> DataFrame:
-    """Events with the shard key of a partitioned stream, grouped by it."""
+    """Events with the shard key of a partitioned stream, grouped by it only
+    if ``parallel`` is given: a constant key then means a single writer."""
     return with_partition_key(changes, columns, constant, partitions=parallel)
 
 
@@ -91,10 +99,10 @@ def topic_to_tables(
     routed = route_changes(changes, routes, deletes=deletes)
     routed = reject_null_keys(routed, routes, {d: s.keys for d, s in specs.items()})
     stamped = stamp_partition(routed, stamp, hour=hour)
-    kept = [*order, *next(iter(specs.values())).partition_by]
 
     def table_writer(route: Route):
         spec = specs[route.dest]
+        kept = [*order, *spec.partition_by]
 
         def write(rows: DataFrame, batch_id: int) -> None:
             if deletes == "apply":

@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.envelope import generic_rows, parse_envelope, parse_pairs, parse_rows, project_after
 from ..operators.capture import (
@@ -24,7 +24,7 @@ from ..operators.capture import (
 from ..operators.routing import Route, dim_rows, route_changes, routed_rows
 from ..operators.temporal import as_of, temporal_join, versioned
 from ..operators.upsert import latest_per_key, merge_upsert, stamp_partition
-from ..sinks.messages import to_kafka_columns, with_partition_key
+from ..sinks.messages import to_kafka_columns, with_parallelism, with_partition_key
 from ..sinks.tables import TableSpec
 from ..sources import changes_from_events, read_changes
 from ..storage import new_folder
@@ -193,6 +193,17 @@ def shard_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].unionByName(counts[1])
 
 
+def message_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each change's place among those of its key, as the writers send them."""
+    parsed = parse_envelope(change_log(spark, sf_dir), ["id"])
+    rows = parsed.select("db", "table", F.col("after.id").alias("id"), "seq")
+    keyed = with_partition_key(rows, ["db", "table", "id"])
+    sent = with_parallelism(keyed, 16, F.col("partition_key"), "seq")
+    sent = sent.withColumn("_sent", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.partitionBy("partition_key").orderBy("_sent"))
+    return sent.select("partition_key", "seq", place.alias("place"))
+
+
 # Latest row and upsert -----------------------------------------------------
 
 
@@ -485,6 +496,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         shard_origin,
         dimension_rows,
         shard_keys,
+        message_order,
         latest_union,
         latest_by_name,
         latest_lineitem,

@@ -41,8 +41,9 @@ def with_partition_key(
     """Add the key that decides a message's shard, and optionally regroup.
 
     By ``columns`` the key is their text, which keeps the order per key and
-    spreads the load. A ``constant`` puts everything on one shard in total
-    order: all rows then go through one writer, so use it for small streams.
+    spreads the load. A ``constant`` puts everything on one shard; only with
+    ``partitions`` do all its rows also go through one writer, so give that
+    for small streams alone.
     """
     if (constant is None) == (not columns):
         raise ValueError("give either key columns or a constant")
@@ -54,11 +55,23 @@ def with_partition_key(
     return keyed.repartition(partitions, name) if partitions else keyed
 
 
-def with_parallelism(df: DataFrame, parallel: int) -> DataFrame:
-    """Spread rows evenly over ``parallel`` writers."""
+def with_parallelism(
+    df: DataFrame, parallel: int, key: Column | None = None, seq: str | None = None
+) -> DataFrame:
+    """Spread rows over ``parallel`` writers: evenly, or by ``key``.
+
+    Rows of one key share a writer. ``seq`` sorts each writer's rows, so that
+    the changes of a key leave in that order; a stream cannot be sorted, so
+    there the order within a batch is that of the source partitions.
+    """
     if parallel < 1:
         raise ValueError("parallel must be at least 1")
-    return df.repartition(parallel)
+    if seq is not None and key is None:
+        raise ValueError("an order needs a key")
+    if key is None:
+        return df.repartition(parallel)
+    spread = df.repartition(parallel, key)
+    return spread if seq is None or df.isStreaming else spread.sortWithinPartitions(seq)
 
 
 def console(df: DataFrame, name: str = "console") -> DataStreamWriter:

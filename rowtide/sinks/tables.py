@@ -14,6 +14,9 @@ from ..operators.upsert import PARTITION_COLUMNS, has_key, latest_per_key, merge
 
 BUCKET = "key_bucket"
 PARTITIONS_PER_STATEMENT = 200
+#: Partition of rows whose partition value is null or empty.
+NO_VALUE = "none"
+GAINS = "_gains"
 
 
 @dataclass(frozen=True)
@@ -78,13 +81,21 @@ def upsert_table(
 
     The partitions that hold a key of the batch or receive one are rewritten
     into a new folder; then the catalog is pointed at it partition by
-    partition. The old files stay until then, so a crash at any point loses
-    nothing, and running the same batch again gives the same table. Rows
-    without a key are left out; see ``has_key``.
+    partition, receivers before the partitions that only lose rows. The old
+    files stay until then, and running the same batch again gives the same
+    table. The catalog has no transaction over several partitions: a reader
+    in between, or after a crash without a repeat, may see a moved key twice,
+    and, if two partitions exchange keys, a key of the later one not at all;
+    a repeated batch mends both.
+
+    Rows without a key are left out; see ``has_key``. A null or empty
+    partition value becomes the text ``none``.
     """
     spark = batch.sparkSession
     parts = spec.partition_columns
-    rows = batch.where(has_key(spec.keys))
+    rows = batch.where(has_key(spec.keys)).withColumns(
+        {c: F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit(NO_VALUE)) for c in spec.partition_by}
+    )
     if spec.buckets:
         rows = rows.withColumn(BUCKET, bucket_of(spec))
     changes = latest_per_key(rows, spec.merge_keys, [spec.precombine, *order]).persist()
@@ -145,38 +156,34 @@ def bucket_of(spec: TableSpec) -> Column:
 def _touched_partitions(
     table: DataFrame, spec: TableSpec, changes: DataFrame, deleted: str | None
 ) -> list[Row]:
-    """Partition values to rewrite: metadata, at most one row per partition."""
+    """Partition values to rewrite and whether rows arrive there: metadata, at
+    most one row per partition."""
     parts = spec.partition_columns
     if deleted:
         arriving = changes.where(~F.coalesce(F.col(deleted), F.lit(False)))
     else:
         arriving = changes
-    touched = arriving.select(*parts).distinct()
+    touched = arriving.select(*parts, F.lit(True).alias(GAINS))
     if spec.key_scope == "table":
         stored = table.select(*spec.keys, *parts)
         if spec.buckets:
             used = [r[0] for r in changes.select(BUCKET).distinct().collect()]
             stored = stored.where(F.col(BUCKET).isin(used))
         holding = stored.join(changes.select(*spec.keys), list(spec.keys), "left_semi")
-        touched = touched.union(holding.select(*parts)).distinct()
+        touched = touched.unionByName(holding.select(*parts, F.lit(False).alias(GAINS)))
     elif deleted:
-        touched = changes.select(*parts).distinct()
-    return touched.collect()
+        touched = touched.unionByName(changes.select(*parts, F.lit(False).alias(GAINS)))
+    return touched.groupBy(*parts).agg(F.max(GAINS).alias(GAINS)).collect()
 
 
 def _in_partitions(partitions: Sequence[Row], parts: Sequence[str]) -> Column:
-    """A filter the catalog can prune by: leading columns, then the last IN."""
-    groups: dict[tuple, list] = {}
-    for p in partitions:
-        groups.setdefault(tuple(p[:-1]), []).append(p[-1])
-    last = F.col(parts[-1])
-    condition = F.lit(False)
-    for lead, values in groups.items():
-        here = last.isin(values)
-        for c, v in zip(parts, lead):
-            here = here & (F.col(c) == v)
-        condition = condition | here
-    return condition
+    """A filter the catalog can prune by: the first column alone, which a
+    metastore understands, then one set of whole partitions. Its plan has the
+    same depth however many partitions there are."""
+    place = F.concat_ws("\x01", *[F.col(c).cast("string") for c in parts])
+    first = {p[parts[0]] for p in partitions}
+    whole = {"\x01".join(str(p[c]) for c in parts) for p in partitions}
+    return F.col(parts[0]).isin(sorted(first)) & place.isin(sorted(whole))
 
 
 def _literal(value: object) -> str:
@@ -194,19 +201,22 @@ def _existing(spark: SparkSession, spec: TableSpec) -> set[tuple[str, ...]]:
     return {tuple(unquote(p.split("=", 1)[1]) for p in name.split("/")) for name in names}
 
 
+def _written(spark: SparkSession, spec: TableSpec, folder: str) -> dict[tuple, str]:
+    """Partition values and folders of a finished write, from folder names."""
+    parts = spec.partition_columns
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(folder + "/*=*" * len(parts))
+    places = {}
+    for status in pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []:
+        place = status.getPath().toString()
+        texts = [unquote(n.split("=", 1)[1]) for n in place.split("/")[-len(parts) :]]
+        places[tuple(int(t) if c == BUCKET else t for c, t in zip(parts, texts))] = place
+    return places
+
+
 def _publish(spark: SparkSession, spec: TableSpec, folder: str, touched: Sequence[Row]) -> None:
     """Point the catalog at the new folder: gains first, emptied ones last."""
     parts = spec.partition_columns
-    # An explicit schema: hh=01 must not be read back as a number.
-    written = spark.read.schema(spec.ddl).parquet(folder)
-    places = {
-        tuple(r[: len(parts)]): unquote(r["_folder"])
-        for r in written.select(
-            *parts, F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("_folder")
-        )
-        .distinct()
-        .collect()
-    }
+    places = _written(spark, spec, folder)
     existing = _existing(spark, spec)
     as_text = lambda values: tuple(str(v) for v in values)
     new = [p for p in places if as_text(p) not in existing]
@@ -216,13 +226,15 @@ def _publish(spark: SparkSession, spec: TableSpec, folder: str, touched: Sequenc
             for p in new[i : i + PARTITIONS_PER_STATEMENT]
         )
         spark.sql(f"ALTER TABLE {spec.name} ADD IF NOT EXISTS {specs}")
-    for p in places:
+    values = lambda row: tuple(row[c] for c in parts)
+    gains = {values(p) for p in touched if p[GAINS]}
+    for p in sorted(places, key=lambda p: p not in gains):
         if as_text(p) in existing:
             spark.sql(
                 f"ALTER TABLE {spec.name} {_partition_spec(parts, p)} "
                 f"SET LOCATION {_literal(places[p])}"
             )
-    emptied = [p for p in map(tuple, touched) if p not in places and as_text(p) in existing]
+    emptied = [p for p in map(values, touched) if p not in places and as_text(p) in existing]
     for i in range(0, len(emptied), PARTITIONS_PER_STATEMENT):
         specs = ", ".join(_partition_spec(parts, p) for p in emptied[i : i + PARTITIONS_PER_STATEMENT])
         spark.sql(f"ALTER TABLE {spec.name} DROP IF EXISTS {specs}")

@@ -35,6 +35,13 @@ def test_partition_keys(spark):
 
 def test_parallelism(spark):
     assert with_parallelism(spark.range(10), 3).rdd.getNumPartitions() == 3
+    mixed = spark.range(100).selectExpr("id % 7 AS k", "pmod(hash(id), 1000) AS seq").repartition(5)
+    sent = with_parallelism(mixed, 3, F.col("k"), "seq").select("k", "seq", F.spark_partition_id().alias("p")).collect()
+    for k in range(7):
+        own = [(r.p, r.seq) for r in sent if r.k == k]
+        assert len({p for p, _ in own}) == 1 and own == sorted(own)
+    with pytest.raises(ValueError):
+        with_parallelism(mixed, 3, seq="seq")
     with pytest.raises(ValueError):
         with_parallelism(spark.range(10), 0)
 
