@@ -9,15 +9,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .hot_keys import (
     CHUNK,
     MAX_GROUP_ROWS,
+    Bounds,
     all_chunks,
     chunk_of,
     hot_key_bounds,
+    null_safe_join,
     with_bounds,
 )
-from .upsert import latest_per_key
-
-# A chunk whose rows all share one order value is spread over this many groups.
-HEAVY_SPREAD = 64
+from .upsert import has_key, latest_per_key
 
 
 def _names(value: str | Sequence[str] | None) -> list[str]:
@@ -37,7 +36,8 @@ def versioned(
 
     ``valid_to`` is the time of the key's next version, null for the current
     one. Of several rows of a key at one time only the last by ``tie`` is ever
-    visible, so only that one is a version. Rows without a time are none.
+    visible, so only that one is a version. Rows without a time are none;
+    those without a key are versions of one key.
     """
     keys, ties = _names(key), _names(tie)
     rows = df.where(F.col(time).isNotNull())
@@ -59,22 +59,20 @@ def versioned(
     single = latest_per_key(rows, [*keys, time], ties) if ties else rows.dropDuplicates([*keys, time])
     chunked = (
         with_bounds(single, bounds, keys)
-        .withColumn(CHUNK, chunk_of(F.struct(F.col(time)), F.col("bounds")))
+        .withColumn(CHUNK, chunk_of(F.struct(F.col(time)), F.col("bounds"), bounds.longest))
         .drop("bounds", "heavy")
     )
     # Every chunk of a hot key gets one end marker: the key's next time after it.
     starts = (
         with_bounds(rows.select(*keys, time), bounds, keys)
         .where(F.col("bounds").isNotNull())
-        .withColumn(CHUNK, chunk_of(F.struct(F.col(time)), F.col("bounds")))
+        .withColumn(CHUNK, chunk_of(F.struct(F.col(time)), F.col("bounds"), bounds.longest))
         .groupBy(*keys, CHUNK)
         .agg(F.min(time).alias("_start"))
     )
     after = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(1, Window.unboundedFollowing)
     markers = (
-        all_chunks(bounds, keys)
-        .select(*keys, CHUNK)
-        .join(starts, [*keys, CHUNK], "left")
+        null_safe_join(all_chunks(bounds, keys).select(*keys, CHUNK), starts, [*keys, CHUNK], "left")
         .withColumn(time, F.min("_start").over(after))
         .select(*keys, CHUNK, time, F.lit(True).alias("_marker"))
         .where(F.col(time).isNotNull())
@@ -140,12 +138,7 @@ def temporal_join(
     key_alias = [f"_k{i}" for i in range(len(keys))]
     tie_alias = [f"_tie{i}" for i in range(len(ties))]
 
-    def has_key() -> Column:
-        present = F.lit(True)
-        for a in key_alias:
-            present = present & F.col(a).isNotNull()
-        return present
-
+    keyed = has_key(key_alias)
     fact_rows = facts.select(
         *[F.col(k).alias(a) for k, a in zip(keys, key_alias)],
         F.col(time).alias("_time"),
@@ -153,26 +146,26 @@ def temporal_join(
         *[F.col(c).alias(f"_f{i}") for i, c in enumerate(fact_columns)],
     )
     if how == "inner":
-        fact_rows = fact_rows.where(has_key())
+        fact_rows = fact_rows.where(keyed)
     dim_rows = dims.select(
         *[F.col(k).alias(a) for k, a in zip(keys, key_alias)],
         F.col(time).alias("_time"),
         F.lit(0).alias("_side"),
         *[F.col(t).alias(a) for t, a in zip(ties, tie_alias)],
         F.struct(*[F.col(c).alias(f"d{i}") for i, c in enumerate(dim_columns)]).alias("_dim"),
-    ).where(has_key() & F.col("_time").isNotNull())
+    ).where(keyed & F.col("_time").isNotNull())
 
     order = ["_time", "_side", *tie_alias]
     bounds = None
     if max_group_rows is not None:
         slim = [*key_alias, "_time", "_side"]
-        all_rows = fact_rows.where(has_key()).select(*slim).unionByName(dim_rows.select(*slim))
+        all_rows = fact_rows.where(keyed).select(*slim).unionByName(dim_rows.select(*slim))
         bounds = hot_key_bounds(all_rows, key_alias, F.struct("_time", "_side"), max_group_rows)
 
     # Facts without a key meet no dimension row; the group only has to be small.
     keyless = F.lit(0)
     if how == "left":
-        keyless = F.when(~has_key(), F.spark_partition_id()).otherwise(0)
+        keyless = F.when(~keyed, F.spark_partition_id()).otherwise(0)
     if bounds is None:
         rows = fact_rows.withColumn("_spread", keyless).unionByName(
             dim_rows.withColumn("_spread", F.lit(0)), allowMissingColumns=True
@@ -204,7 +197,7 @@ def temporal_join(
 def _chunked_rows(
     fact_rows: DataFrame,
     dim_rows: DataFrame,
-    bounds: DataFrame,
+    bounds: Bounds,
     keys: list[str],
     ties: list[str],
     keyless: Column,
@@ -213,19 +206,19 @@ def _chunked_rows(
 
     Each chunk starts with a carried row: the newest dimension row of the
     chunks before it. Facts that share one heavy order value need nothing but
-    that row, so they may lie in any of ``HEAVY_SPREAD`` copies of the chunk.
+    that row, so they may lie in any of ``bounds.spread`` copies of the chunk.
     """
     position = F.struct("_time", "_side")
 
     def chunked(rows: DataFrame) -> DataFrame:
-        return with_bounds(rows, bounds, keys).withColumn(CHUNK, chunk_of(position, F.col("bounds")))
+        return with_bounds(rows, bounds, keys).withColumn(CHUNK, chunk_of(position, F.col("bounds"), bounds.longest))
 
     at_heavy_bound = F.coalesce(
         F.get("heavy", F.col(CHUNK) - 1) & (F.get("bounds", F.col(CHUNK) - 1) == position),
         F.lit(False),
     )
     # The task number is the same when a task is run again.
-    anywhere = F.spark_partition_id() % HEAVY_SPREAD
+    anywhere = F.spark_partition_id() % bounds.spread
     facts = (
         chunked(fact_rows)
         .withColumn("_spread", F.when(at_heavy_bound, anywhere).otherwise(keyless))
@@ -255,7 +248,7 @@ def _chunked_rows(
             F.lit(-1).alias("_side"),
             "_dim",
             F.explode(
-                F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(HEAVY_SPREAD - 1)))
+                F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(bounds.spread - 1)))
                 .otherwise(F.array(F.lit(0)))
             ).alias("_spread"),
         )

@@ -251,3 +251,6 @@ CHECKS: dict[str, str] = {
         ASOF JOIN (SELECT * FROM events WHERE event_type <> 'purchase') d
           ON f.user_id = d.user_id AND f.event_id >= d.event_id""",
 }
+
+CHECKS["hot_temporal_left"] = CHECKS["purchase_temporal_left"]
+CHECKS["hot_versions"] = CHECKS["dimension_versions"]

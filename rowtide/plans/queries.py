@@ -41,6 +41,7 @@ ROUTES = (UNION, NO_TIME, DEV)
 PRECOMBINE = {"test_tb_union": "modify_time", "test_tb_no_time": "name", "dev_tb_01": "modify_time"}
 
 STREAM_SLICES = 3
+HOT_GROUP_ROWS = 4
 ORDER_KEY_SHIFT = 10_000_000
 
 
@@ -353,6 +354,17 @@ def error_temporal_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hot_temporal_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The left join with a group limit that most keys exceed."""
+    facts, dims = _facts(spark, sf_dir), _dims(spark, sf_dir)
+    return temporal_join(facts, dims, "id", "seq", how="left", max_group_rows=HOT_GROUP_ROWS)
+
+
+def hot_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions with a group limit that most keys exceed."""
+    return versioned(_dims(spark, sf_dir), "id", "seq", max_group_rows=HOT_GROUP_ROWS)
+
+
 def dimension_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every dimension row with the interval it is valid in."""
     return versioned(_dims(spark, sf_dir), "id", "seq")
@@ -512,6 +524,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         error_temporal_join,
         dimension_versions,
         dimension_as_of,
+        hot_temporal_left,
+        hot_versions,
         stream_to_tables,
         stream_to_tables_deletes,
         stream_temporal_join,

@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from rowtide import as_of, temporal_join, versioned
 from rowtide.operators import hot_keys
@@ -92,8 +93,8 @@ def test_a_hot_key_is_cut_evenly(spark):
         F.col("id").alias("t"),
     )
     bounds = hot_keys.hot_key_bounds(rows, ["k"], F.struct("t"), 500)
-    assert [r.k for r in bounds.collect()] == ["hot"]
-    chunk = hot_keys.chunk_of(F.struct("t"), F.col("bounds"))
+    assert [r.k for r in bounds.rows.collect()] == ["hot"] and bounds.spread == 14
+    chunk = hot_keys.chunk_of(F.struct("t"), F.col("bounds"), bounds.longest)
     sizes = (
         hot_keys.with_bounds(rows, bounds, ["k"]).where("k = 'hot'")
         .groupBy(chunk.alias("c")).count().collect()
@@ -102,14 +103,21 @@ def test_a_hot_key_is_cut_evenly(spark):
     assert hot_keys.hot_key_bounds(rows, ["k"], F.struct("t"), 10_000) is None
 
 
+def test_hot_null_keys_are_cut_too(spark):
+    df = spark.range(300).selectExpr("if(id % 2 = 0, null, id % 5) AS k", "pmod(hash(id), 200) AS t", "id AS tie")
+    whole, cut = (versioned(df, "k", "t", "tie", max_group_rows=n) for n in (None, 20))
+    assert hot_keys.hot_key_bounds(df, ["k"], F.struct("t"), 20).rows.where("k IS NULL").count() == 1
+    assert sorted(map(tuple, cut.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+
+
 def test_chunk_is_the_number_of_bounds_at_or_below(spark):
     from pyspark.sql import functions as F
 
     bounds = sorted(random.Random(5).sample(range(1000), 137))
     df = spark.range(-1, 1001).withColumn("bounds", F.array(*[F.lit(b) for b in bounds]))
-    for r in df.select("id", hot_keys.chunk_of(F.col("id"), F.col("bounds")).alias("c")).collect():
+    for r in df.select("id", hot_keys.chunk_of(F.col("id"), F.col("bounds"), 137).alias("c")).collect():
         assert r.c == sum(b <= r.id for b in bounds)
-    assert df.select(hot_keys.chunk_of(F.col("id"), F.lit(None).cast("array<int>")).alias("c")).first().c == 0
+    assert df.select(hot_keys.chunk_of(F.col("id"), F.lit(None).cast("array<int>"), 0).alias("c")).first().c == 0
 
 
 def test_join_is_one_shuffle_and_no_pairs(spark):
