@@ -371,5 +371,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are their component's smallest doc_id, or have
     no doc_id, with all their columns."""
-    dropped = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    # Written first: of a known size, Spark broadcasts it where it is small.
+    dropped = saved(near_duplicates(docs).where("NOT kept").select("doc_id").distinct(), "dropped")
     return docs.join(dropped, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
