@@ -119,9 +119,15 @@ def parse_envelope(
     nested value or a rounded number are read again as variants, which keep
     both the JSON type and up to 38 digits.
     """
+    # Read again only for a name that looks like an object or array.
+    typed_source = F.from_json(F.col(value), "source STRUCT<db: VARIANT, `table`: VARIANT>", LENIENT_JSON)["source"]
+
     def decoded(event: Column) -> Column:
         source, row = event["source"], _image(event, before)
-        db, table = (F.when(~_looks_nested(source[c]), source[c]) for c in ("db", "table"))
+        db, table = (
+            F.when(_looks_nested(source[c]), _plain_text(typed_source[c])).otherwise(source[c])
+            for c in ("db", "table")
+        )
         not_an_object = event.isNull() | (
             event[CORRUPT].isNotNull() & source.isNull() & row.isNull()
         )
@@ -175,6 +181,11 @@ def _exact_fields(value: str, columns: Sequence[str], rough: Column, before: boo
     return F.transform(F.array(_from_json(value, columns, "VARIANT", before)), typed)[0]
 
 
+def _plain_text(value: Column) -> Column:
+    """The text of a variant, NULL for an object or array."""
+    return F.when(~F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)"), value.cast("string"))
+
+
 def _looks_nested(text: Column) -> Column:
     return text.startswith("{") | text.startswith("[")
 
@@ -225,27 +236,44 @@ def generic_rows(df: DataFrame, value: str = "value", keep: Sequence[str] = ())
     last_only = F.filter(
         entries, lambda e, i: F.array_position(names, e["key"]) == F.size(entries) - i
     )
+    unique = F.size(F.array_distinct(names)) == F.size(names)
     return (
         computed_once(df, "_event", parsed)
         .select(
             *keep,
-            F.col("_event.source.db").cast("string").alias("db"),
-            F.col("_event.source.table").cast("string").alias("table"),
-            F.map_from_entries(last_only).alias("fields"),
+            _plain_text(F.col("_event.source.db")).alias("db"),
+            _plain_text(F.col("_event.source.table")).alias("table"),
+            F.when(unique, F.col("_event.after")).otherwise(F.map_from_entries(last_only)).alias("fields"),
         )
         .where("db IS NOT NULL AND `table` IS NOT NULL AND fields IS NOT NULL")
     )
 
 
 def parse_rows(
-    df: DataFrame, columns: Sequence[str], value: str = "value", keep: Sequence[str] = ()
+    df: DataFrame,
+    columns: Sequence[str],
+    value: str = "value",
+    keep: Sequence[str] = (),
+    errors: str = "null",
 ) -> DataFrame:
-    """Flat JSON objects (no envelope) as text columns; bad text gives nulls."""
-    schema = ", ".join(f"{_quoted(c)} STRING" for c in columns)
-    parsed = F.from_json(F.col(value), schema, LENIENT_JSON)
-    return computed_once(df, "_row", parsed).select(
-        *keep, *[F.col(f"_row.{_quoted(c)}").alias(c) for c in columns]
-    )
+    """Flat JSON objects (no envelope) as text columns.
+
+    Text that is no JSON object, null too, gives nulls. ``errors="reject"``
+    also adds ``parse_error``, ``malformed`` for such rows and else null;
+    ``errors="fail"`` stops the job at the first of them.
+    """
+    if errors not in ("null", "reject", "fail"):
+        raise ValueError(f"errors must be 'null', 'reject' or 'fail', not {errors!r}")
+    schema = ", ".join(f"{_quoted(c)} STRING" for c in [*columns, CORRUPT])
+    parsed = F.from_json(F.col(value), schema, {**LENIENT_JSON, "columnNameOfCorruptRecord": CORRUPT})
+    rows = computed_once(df, "_row", parsed)
+    bad = F.col("_row").isNull() | F.col(f"_row.{CORRUPT}").isNotNull()
+    fields = [F.when(~bad, F.col(f"_row.{_quoted(c)}")) for c in columns]
+    if errors == "fail":
+        stop = F.raise_error(F.concat(F.lit("not a JSON object: "), F.coalesce(F.col(value), F.lit("NULL"))))
+        fields = [f.otherwise(stop.cast("string")) for f in fields]
+    error = [F.when(bad, MALFORMED).alias("parse_error")] if errors == "reject" else []
+    return rows.select(*keep, *[f.alias(c) for f, c in zip(fields, columns)], *error)
 
 
 def parse_pairs(

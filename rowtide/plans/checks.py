@@ -161,6 +161,28 @@ CHECKS: dict[str, str] = {
         GROUP BY db, "table", op""",
     "routing_outcomes": _with(LOG) + """
         SELECT dest, reject_reason, count(*) AS changes FROM outcome GROUP BY dest, reject_reason""",
+    "rejected_texts": _with(LOG) + """, texts AS (
+        SELECT *, '{"id":' || CASE WHEN turn = 13 THEN 'null' ELSE '"' || id || '"' END
+               || ',"name":' || CASE WHEN turn = 12 THEN '{"x":1}' ELSE '"' || name || '"' END
+               || ',"create_time":"' || modify_time || '","modify_time":"' || modify_time
+               || '","address":"' || address || '"}' AS image
+        FROM (SELECT *, seq % 60 AS turn FROM outcome)),
+        judged AS (
+        SELECT seq, CASE WHEN malformed THEN 'malformed' WHEN turn = 11 THEN 'source_missing'
+                         WHEN deleted THEN 'after_null' WHEN target = '_unrouted' THEN 'unrouted'
+                         WHEN target = '_reject' THEN 'table_unmatched' WHEN turn = 12 THEN 'projection'
+                         WHEN turn = 13 THEN 'null_key' END AS outcome,
+               CASE WHEN malformed THEN 'not json'
+                    ELSE '{"before":' || CASE WHEN deleted THEN image ELSE 'null' END
+                         || ',"after":' || CASE WHEN deleted THEN 'null' ELSE image END
+                         || ',"source":{"db":"' || db || '",'
+                         || CASE WHEN turn = 11 THEN '"tables":""' ELSE '"table":"' || tb || '"' END
+                         || '},"op":"' || CASE WHEN deleted THEN 'd' ELSE 'c' END
+                         || '","ts_ms":' || epoch_us(ts) // 1000 || '}' END AS value
+        FROM texts)
+        SELECT seq, CASE WHEN outcome = 'unrouted' THEN '_unrouted' ELSE '_reject' END AS dest,
+               nullif(outcome, 'unrouted') AS reject_reason, value
+        FROM judged WHERE outcome IS NOT NULL""",
     "shard_union": _with(LOG) + " SELECT seq, id, name, create_time, modify_time FROM tb_union",
     "shard_origin": _with(LOG)
     + _latest(
@@ -250,6 +272,15 @@ CHECKS: dict[str, str] = {
         FROM (SELECT * FROM events WHERE event_type = 'purchase') f
         ASOF JOIN (SELECT * FROM events WHERE event_type <> 'purchase') d
           ON f.user_id = d.user_id AND f.event_id >= d.event_id""",
+    "stream_text_lines": """
+        SELECT f.event_id // 4 AS moment, f.event_id AS seq, CAST(f.user_id % 3 AS VARCHAR) AS id,
+               f.event_type AS name, d.event_id // 4 AS moment0, d.event_id AS seq0,
+               CAST(d.user_id % 3 AS VARCHAR) AS id0, d.event_type AS name0
+        FROM (SELECT * FROM events WHERE event_type = 'purchase') f
+        ASOF JOIN (SELECT * FROM events WHERE event_type <> 'purchase') d
+          ON f.user_id % 3 = d.user_id % 3 AND f.event_id >= d.event_id""",
+    "captured_to_tables": _with(LOG)
+    + _latest("tb_union", "id", "modify_time DESC, seq DESC", "id, name, create_time, modify_time"),
 }
 
 CHECKS["hot_temporal_left"] = CHECKS["purchase_temporal_left"]

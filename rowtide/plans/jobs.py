@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.envelope import OP_DELETE, parse_envelope, parse_pairs, parse_rows
-from ..operators.capture import diff_changes, encode_changes, include_tables, snapshot_changes
+from ..operators.capture import diff_changes, encode_changes, include_tables, snapshot_changes, start_changes
 from ..operators.routing import (
     REJECT,
     UNROUTED,
@@ -22,6 +22,7 @@ from ..operators.upsert import stamp_partition
 from ..sinks.messages import to_kafka_columns, with_parallelism, with_partition_key
 from ..sinks.tables import TableSpec, ensure_table, upsert_table
 from ..streaming.fan_out import fan_out
+from ..streaming.options import JobOptions, use_rocksdb_state
 from ..streaming.temporal import temporal_join_stream
 
 
@@ -91,14 +92,17 @@ def topic_to_tables(
 
     ``order`` names stream columns that decide between equal precombine values
     (for Kafka: timestamp, partition, offset). ``dead_letters`` is a folder
-    for unrouted and rejected changes, one subfolder per batch.
+    for unrouted and rejected changes, one subfolder per batch. Their counts are
+    in each batch's progress, as the observed metrics ``not_stored``.
     """
     spark = changes.sparkSession
     for r in routes:
         ensure_table(spark, specs[r.dest])
     routed = route_changes(changes, routes, deletes=deletes)
     routed = reject_null_keys(routed, routes, {d: s.keys for d, s in specs.items()})
-    stamped = stamp_partition(routed, stamp, hour=hour)
+    kinds = {"unrouted": UNROUTED, "rejected": REJECT}
+    counts = [F.count_if(F.col("dest") == dest).alias(kind) for kind, dest in kinds.items()]
+    stamped = stamp_partition(routed, stamp, hour=hour).observe("not_stored", *counts)
 
     def table_writer(route: Route):
         spec = specs[route.dest]
@@ -136,7 +140,7 @@ def topic_with_dimension(
     *,
     db: str,
     table: str,
-    seq: str,
+    seq: str | Sequence[str],
     fact_columns: Sequence[str] = ("id", "name"),
     dim_columns: Sequence[str] = ("id", "name", "create_time", "modify_time"),
     key: str = "id",
@@ -145,21 +149,77 @@ def topic_with_dimension(
     how: str = "inner",
     spread: int = 1,
 ) -> DataFrame:
-    """JSON facts joined to the latest row of a captured dimension table."""
-    dims = dim_rows(
-        dim_changes, db, table, dim_columns, keep=[seq], unmatched=unmatched, errors=errors
-    )
-    rows = parse_rows(facts, fact_columns, keep=[seq])
+    """JSON facts joined to the latest row of a captured dimension table.
+
+    A fact that is no JSON object has null fields; ``errors="fail"`` stops the job.
+    """
+    kept = [seq] if isinstance(seq, str) else list(seq)
+    dims = dim_rows(dim_changes, db, table, dim_columns, keep=kept, unmatched=unmatched, errors=errors)
+    rows = parse_rows(facts, fact_columns, keep=kept, errors="fail" if errors == "fail" else "null")
     return temporal_join_stream(rows, dims, key, seq, how=how, spread=spread)
 
 
 def lines_with_dimension(
-    facts: DataFrame, dims: DataFrame, seq: str, *, errors: str = "reject", how: str = "inner"
+    facts: DataFrame,
+    dims: DataFrame,
+    seq: str | Sequence[str],
+    *,
+    errors: str = "reject",
+    how: str = "inner",
+    spread: int = 1,
 ) -> DataFrame:
     """Two streams of ``id,name`` lines: facts joined to the latest dimension."""
+    kept = [seq] if isinstance(seq, str) else list(seq)
 
     def pairs(lines: DataFrame) -> DataFrame:
-        rows = parse_pairs(lines, keep=[seq], errors=errors)
+        rows = parse_pairs(lines, keep=kept, errors=errors)
         return rows.where(F.col("parse_error").isNull()).drop("parse_error")
 
-    return temporal_join_stream(pairs(facts), pairs(dims), "id", seq, how=how)
+    return temporal_join_stream(pairs(facts), pairs(dims), "id", seq, how=how, spread=spread)
+
+
+# The jobs driven by options; sources are opened by the caller --------------
+
+
+def run_capture(
+    options: JobOptions,
+    log: DataFrame,
+    snapshot: DataFrame | None = None,
+    *,
+    at: object = None,
+    key: Column | None = None,
+    seq: str = "seq",
+) -> DataFrame:
+    """Message columns of the changes on the include lists, from the options'
+    position on, by their number of writers."""
+    started = start_changes(snapshot, log, options.position, at, seq)
+    chosen = select_changes(started, options.db_list, options.table_list)
+    return capture_to_topic(chosen, options.parallel, key, None if key is None else seq)
+
+
+def run_tables(
+    options: JobOptions,
+    changes: DataFrame,
+    routes: Sequence[Route],
+    specs: Mapping[str, TableSpec],
+    **more: object,
+) -> StreamingQuery:
+    """``topic_to_tables`` with the options' checkpoint, trigger, name and parallelism."""
+    return topic_to_tables(
+        changes,
+        routes,
+        specs,
+        options.checkpoint_dir,
+        name=options.name or "changes-to-tables",
+        trigger=options.trigger,
+        parallel=options.parallel,
+        **more,
+    )
+
+
+def run_join(options: JobOptions, joined: DataFrame) -> DataStreamWriter:
+    """The writer of a joined stream with the options' checkpoint, trigger and
+    name. Keyed state is kept in RocksDB."""
+    use_rocksdb_state(joined.sparkSession)
+    writer = joined.writeStream.option("checkpointLocation", options.checkpoint_dir).trigger(**options.trigger)
+    return writer.queryName(options.name) if options.name else writer

@@ -21,14 +21,31 @@ from ..operators.capture import (
     snapshot_changes,
     start_changes,
 )
-from ..operators.routing import Route, dim_rows, route_changes, routed_rows
+from ..operators.routing import (
+    REJECT,
+    UNROUTED,
+    Route,
+    dim_rows,
+    reject_null_keys,
+    route_changes,
+    routed_rows,
+)
 from ..operators.temporal import as_of, temporal_join, versioned
 from ..operators.upsert import latest_per_key, merge_upsert, stamp_partition
 from ..sinks.messages import to_kafka_columns, with_parallelism, with_partition_key
 from ..sinks.tables import TableSpec
-from ..sources import changes_from_events, read_changes
+from ..sources import changes_from_events, read_changes, read_lines
 from ..storage import new_folder
-from .jobs import capture_to_shards, lines_with_dimension, topic_to_tables, topic_with_dimension
+from ..streaming.options import JobOptions
+from .jobs import (
+    capture_to_shards,
+    lines_with_dimension,
+    run_capture,
+    run_join,
+    run_tables,
+    topic_to_tables,
+    topic_with_dimension,
+)
 
 # The example tables and their columns.
 UNION_COLUMNS = ("id", "name", "create_time", "modify_time")
@@ -162,6 +179,21 @@ def routing_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routed.groupBy("dest", "reject_reason").agg(F.count("*").alias("changes"))
 
 
+def rejected_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unrouted and rejected changes as received, with every reject reason: some
+    texts lose their table name, hold a nested name or a null id."""
+    text, turn = F.col("value"), F.col("seq") % 60
+    value = (
+        F.when(turn == 11, F.regexp_replace(text, '"table":"[^"]*"', '"tables":""'))
+        .when(turn == 12, F.regexp_replace(text, '"name":"[^"]*"', '"name":{"x":1}'))
+        .when(turn == 13, F.regexp_replace(text, '"id":"[^"]*"', '"id":null'))
+        .otherwise(text)
+    )
+    routed = route_changes(change_log(spark, sf_dir).select("seq", value.alias("value")), ROUTES)
+    routed = reject_null_keys(routed, ROUTES, {r.dest: ["id"] for r in ROUTES})
+    return routed.where(F.col("dest").isin(UNROUTED, REJECT)).select("seq", "dest", "reject_reason", "value")
+
+
 def shard_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two shard tables as one, typed by name."""
     return union_rows(spark, sf_dir)
@@ -490,6 +522,53 @@ def stream_lines_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of text files joined by three hot keys; the order is that of two
+    fields of the line, the first of which repeats."""
+    folder = new_folder(spark, "text")
+    events = table(spark, sf_dir, "events")
+    last = events.agg(F.max("event_id")).first()[0]
+    seq = F.col("event_id")
+    line = F.concat_ws(",", F.col("user_id") % 3, "event_type", F.floor(seq / 4), seq)
+    lines = events.select(seq.alias("seq"), (F.col("event_type") == "purchase").alias("fact"), line.alias("value"))
+    options = JobOptions.for_job("lines_with_dimension", checkpoint_dir=f"{folder}/checkpoint", once=True)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    for part in _in_slices(lines, last):
+        sides = []
+        for name, chosen in (("facts", F.col("fact")), ("dims", ~F.col("fact"))):
+            part.where(chosen).select("value").write.mode("append").text(f"{folder}/{name}")
+            fields = F.split("value", ",")
+            rows = read_lines(spark, f"{folder}/{name}", streaming=True)
+            sides.append(rows.withColumns({n: fields[i].cast("bigint") for n, i in (("moment", 2), ("seq", 3))}))
+        joined = lines_with_dimension(*sides, ["moment", "seq"], spread=4)
+        writer = run_join(options, joined).format("parquet").option("path", f"{folder}/joined")
+        writer.start().awaitTermination()
+    spark.conf.set(provider, before)
+    return spark.read.schema(joined.schema).parquet(f"{folder}/joined")
+
+
+def captured_to_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Capture, a log of message files, then tables, driven by options alone."""
+    folder = new_folder(spark, "captured")
+    options = JobOptions(
+        checkpoint_dir=f"{folder}/checkpoint", db_list="cdc_test_db", table_list=r"cdc_test_db\.test_tb_0[12]",
+        position="initial", parallel=4, name="captured-to-tables", once=True,
+    )
+    key = F.regexp_extract("value", '"id":"([^"]*)"', 1)
+    run_capture(options, change_log(spark, sf_dir), key=key).write.parquet(f"{folder}/log")
+    stream = read_changes(
+        spark, f"{folder}/log", format="parquet", schema="key BINARY, value BINARY", streaming=True
+    ).select(F.col("value").cast("string").alias("value"))
+    # The number in the name stands in for a message's offset.
+    stream = stream.withColumn("offset", F.regexp_extract("value", r'_(\d+)"', 1).cast("bigint"))
+    spec = TableSpec(
+        f"{UNION.dest}_{uuid.uuid4().hex[:12]}", f"{folder}/table", UNION.columns, PRECOMBINE[UNION.dest]
+    )
+    run_tables(options, stream, [UNION], {UNION.dest: spec}, order=["offset"]).awaitTermination()
+    return spark.table(spec.name).select(*UNION.columns)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -504,6 +583,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         start_latest,
         start_initial,
         routing_outcomes,
+        rejected_texts,
         shard_union,
         shard_origin,
         dimension_rows,
@@ -530,5 +610,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_to_tables_deletes,
         stream_temporal_join,
         stream_lines_join,
+        stream_text_lines,
+        captured_to_tables,
     )
 }

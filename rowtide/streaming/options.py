@@ -43,6 +43,8 @@ class JobOptions:
     stream_name: str = ""
     stream_region: str = ""
     server_id: str = ""
+    name: str = ""
+    once: bool = False
 
     def __post_init__(self) -> None:
         if self.checkpoint_interval <= 0:
@@ -67,7 +69,10 @@ class JobOptions:
         return options
 
     @property
-    def trigger(self) -> dict[str, str]:
+    def trigger(self) -> dict[str, object]:
+        """One batch per interval; with ``once`` what is there, then the end."""
+        if self.once:
+            return {"availableNow": True}
         return {"processingTime": f"{self.checkpoint_interval} seconds"}
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -24,7 +24,7 @@ def temporal_join_stream(
     facts: DataFrame,
     dims: DataFrame,
     key: str,
-    seq: str,
+    seq: str | Sequence[str],
     *,
     how: str = "inner",
     spread: int = 1,
@@ -35,7 +35,8 @@ def temporal_join_stream(
     State holds the latest dimension row per key; facts are not kept. A fact
     that comes before its dimension row matches nothing, ever, and a later
     dimension row changes no earlier result, so output is append-only. Within
-    a micro-batch rows are taken by ``seq`` (non-null), dimension rows first.
+    a micro-batch rows are taken by ``seq``, one or several non-null columns of
+    both sides (for Kafka: timestamp, partition, offset), dimension rows first.
     Columns are those of ``temporal_join``. Null keys match nothing.
 
     ``spread`` > 1 divides the facts of every key over that many groups, each
@@ -49,12 +50,14 @@ def temporal_join_stream(
         raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
     if spread < 1:
         raise ValueError("spread must be at least 1")
+    order = [seq] if isinstance(seq, str) else list(seq)
+    places = [f"_seq{i}" for i in range(len(order))]
 
     def tagged(df: DataFrame, side: int, group: Column) -> DataFrame:
         return df.select(
             F.col(key).cast("string").alias("_key"),
             group.alias("_group"),
-            F.col(seq).alias("_seq"),
+            *[F.col(c).alias(p) for c, p in zip(order, places)],
             F.lit(side).alias("_side"),
             F.to_json(
                 F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(df.columns)]), JSON_TIMES
@@ -83,7 +86,7 @@ def temporal_join_stream(
             return
         # A key's rows may come in several chunks, in no order.
         rows = pd.concat(list(chunks), ignore_index=True)
-        rows = rows.sort_values(["_seq", "_side"], kind="stable", ignore_index=True)
+        rows = rows.sort_values([*places, "_side"], kind="stable", ignore_index=True)
         is_dim = (rows["_side"] == 0).to_numpy()
         texts = rows["_row"].to_numpy(dtype=object)
         # For each row the place of the newest dimension row up to it, or -1.

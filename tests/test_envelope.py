@@ -218,3 +218,24 @@ def test_pairs(spark):
     assert parse_pairs(good, errors="fail").first().name == "b"
     with pytest.raises(PySparkException):
         parse_pairs(df, errors="fail").select("id").collect()
+
+
+def test_flat_rows_reject_or_fail(spark):
+    texts = ['{"id":"1","name":"n"}', "bad", '{"id":"1"', None, "{}"]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    rows = parse_rows(df, COLUMNS, errors="reject").collect()
+    assert [r.parse_error for r in rows] == [None, "malformed", "malformed", "malformed", None]
+    assert [r[0] for r in rows] == ["1", None, None, None, None]
+    assert parse_rows(df.where("value = '{}'"), COLUMNS, errors="fail").count() == 1
+    with pytest.raises(PySparkException):
+        parse_rows(df, COLUMNS, errors="fail").collect()
+    with pytest.raises(ValueError):
+        parse_rows(df, COLUMNS, errors="skip")
+
+
+def test_names_that_look_nested_are_judged_by_their_type(spark):
+    texts = [json.dumps({"source": {"db": db, "table": "t"}, "after": {"id": "1"}}) for db in ("[x", {"a": 1}, "d")]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    parsed = parse_envelope(df, ["id"]).collect()
+    assert [(r.db, r.parse_error) for r in parsed] == [("[x", None), (None, "source_missing"), ("d", None)]
+    assert [r.db for r in generic_rows(df).collect()] == ["[x", "d"]

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowtide import (
+    JobOptions,
     TableSpec,
     changes_from_events,
     fan_out,
@@ -16,7 +17,14 @@ from rowtide import (
     temporal_join_stream,
     use_rocksdb_state,
 )
-from rowtide.plans.jobs import lines_with_dimension, topic_to_tables, topic_with_dimension
+from rowtide.plans.jobs import (
+    lines_with_dimension,
+    run_capture,
+    run_join,
+    run_tables,
+    topic_to_tables,
+    topic_with_dimension,
+)
 from rowtide.plans.queries import PRECOMBINE, ROUTES
 from rowtide.storage import new_folder
 
@@ -71,7 +79,13 @@ def test_tables_restart_rejects_and_null_keys(spark):
         (5, "garbage"),
         (6, change({"id": "1"}, db="elsewhere")),
     ])
-    run()
+    query = topic_to_tables(
+        stream(spark, f"{folder}/log"), ROUTES, specs, f"{folder}/cp", order=["seq"],
+        dead_letters=f"{folder}/dead", trigger=NOW,
+    )
+    query.awaitTermination()
+    counts = query.lastProgress.observedMetrics["not_stored"]
+    assert (counts.unrouted, counts.rejected) == (1, 2)
     write(spark, f"{folder}/log", [
         (7, change({"id": "1", "name": "late", "modify_time": "0"})),
         (8, change({"id": "2", "name": "b"}, table="test_tb_no_time")),
@@ -145,7 +159,7 @@ def test_replayed_batch_keeps_its_stamp_and_is_adaptive(spark):
     assert set(adaptive) == {"true"}
 
 
-def run_join(spark, folder, build, parts):
+def run_parts(spark, folder, build, parts):
     """Feed (facts, dims) parts one after the other, restarting in between."""
     out = []
     for facts, dims in parts:
@@ -185,7 +199,7 @@ def test_stream_join(spark, spread, rocksdb):
         ([item(20, "a", 7)], [item(19, "c", 1)]),
     ]
     try:
-        got = run_join(
+        got = run_parts(
             spark, new_folder(spark, "join"),
             lambda f, d: temporal_join_stream(as_rows(f), as_rows(d), "id", "seq", spread=spread), parts,
         )
@@ -198,7 +212,7 @@ def test_stream_join(spark, spread, rocksdb):
 
 def test_values_keep_their_type(spark):
     big = 2**60 + 1
-    got = run_join(
+    got = run_parts(
         spark, new_folder(spark, "join"),
         lambda f, d: temporal_join_stream(as_rows(f), as_rows(d), "id", "seq"),
         [([item(3, "a", None)], [item(2, "a", big, "2024-01-01 00:00:00.123456")])],
@@ -207,7 +221,7 @@ def test_values_keep_their_type(spark):
 
 
 def test_left_stream_join_keeps_unmatched(spark):
-    got = run_join(
+    got = run_parts(
         spark, new_folder(spark, "join"),
         lambda f, d: temporal_join_stream(as_rows(f), as_rows(d), "id", "seq", how="left"),
         [([item(1, "a"), item(3, "a"), item(1, None)], [item(2, "a", 5)])],
@@ -255,7 +269,7 @@ def test_stream_join_equals_the_batch_join(spark):
     dims = sorted(item(n, key(), -n) for n in numbers[150:])
     cuts = [0, 2_500, 6_000, 10_000]
     inside = lambda rows, i: [r for r in rows if cuts[i] <= r[0] < cuts[i + 1]]
-    got = run_join(
+    got = run_parts(
         spark, new_folder(spark, "join"),
         lambda f, d: temporal_join_stream(as_rows(f), as_rows(d), "id", "seq", spread=2),
         [(inside(facts, i), inside(dims, i)) for i in range(3)],
@@ -270,7 +284,7 @@ def test_topic_with_dimension_and_sentinel(spark):
     facts = [fact(3, "1"), fact(3, "null"), (3, "bad")]
     dims = [(1, change({"id": "1", "name": "a"})), (2, change({"id": "9"}, table="other"))]
     run = lambda **o: sorted(
-        (r.name, r.name0) for r in run_join(
+        (r.name, r.name0) for r in run_parts(
             spark, new_folder(spark, "join"),
             lambda f, d: topic_with_dimension(f, d, db="cdc_test_db", table="test_tb_01", seq="seq", **o),
             [(facts, dims)],
@@ -280,7 +294,7 @@ def test_topic_with_dimension_and_sentinel(spark):
 
 
 def test_lines_with_dimension(spark):
-    got = run_join(
+    got = run_parts(
         spark, new_folder(spark, "lines"), lambda f, d: lines_with_dimension(f, d, "seq"),
         [([(1, "a,early"), (3, "a,x,extra"), (4, "short")], [(2, "a,dim"), (2, "b,")])],
     )
@@ -294,3 +308,24 @@ def test_bad_arguments(spark):
         temporal_join_stream(df, df, "id", "seq", how="full")
     with pytest.raises(ValueError):
         temporal_join_stream(df, df, "id", "seq", spread=0)
+
+
+def test_options_reach_the_queries(spark):
+    folder = new_folder(spark, "options")
+    options = JobOptions(checkpoint_dir=f"{folder}/cp", name="named", once=True, db_list="d", table_list="d.t", parallel=3)
+    log = spark.createDataFrame([(i, change({"id": "1"}, t, "d")) for i, t in enumerate("tuttu")], "seq BIGINT, value STRING")
+    sent = run_capture(options, log, key=F.lit("k"))
+    assert sent.columns == ["key", "value"] and sent.count() == 3 and sent.rdd.getNumPartitions() == 3
+    with pytest.raises(ValueError):
+        run_capture(JobOptions(position="latest", db_list="d", table_list="d.t"), log)
+    write(spark, f"{folder}/log", [(1, change({"id": "1"}))])
+    query = run_tables(options, stream(spark, f"{folder}/log"), ROUTES, specs_in(folder))
+    query.awaitTermination()
+    assert query.name == "named" and os.path.exists(f"{folder}/cp/offsets/0")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    rows = stream(spark, f"{folder}/log").selectExpr("'a' AS id", "seq")
+    query = run_join(JobOptions(checkpoint_dir=f"{folder}/cp2", once=True, name="join"), rows).format("noop").start()
+    query.awaitTermination()
+    assert query.name == "join" and "RocksDB" in spark.conf.get(provider)
+    spark.conf.set(provider, before)
