@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import saved, whole_text
@@ -268,17 +268,20 @@ def _sample(docs: DataFrame, labels: DataFrame, usable: Column) -> DataFrame:
     """text and toxic of the labelled rows used for fitting, without near copies:
     copies would make any of their words look telling."""
     known = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
-    known = known.where(usable & F.col("toxic").isin(0, 1)).dropDuplicates(["doc_id"])
+    known = known.where(usable & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("doc_id"), "doc_id"]
     chosen = known.where("toxic = 1").orderBy(*order).limit(TOXIC_ROWS)
     chosen = chosen.unionByName(known.where("toxic = 0").orderBy(*order).limit(CLEAN_ROWS))
     # At most TOXIC_ROWS + CLEAN_ROWS rows of two numbers.
     texts = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"))
-    sample = saved(texts.join(F.broadcast(chosen), "doc_id"), "labelled")
-    rows = sample.join(signatures(sample).dropDuplicates(["doc_id"]).select("doc_id", "tokens", "n_shingles"), "doc_id")
+    found = texts.join(F.broadcast(chosen), "doc_id")
+    sample = saved(found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "labelled")
+    rows = sample.join(signatures(sample).select("doc_id", "tokens", "n_shingles"), "doc_id")
     rows = rows.where("n_shingles > 0")
     for i in range(COPY_TOKENS):
-        rows = rows.withColumn("token", F.get("tokens", F.lit(i))).dropDuplicates(["token"])
+        # The smallest doc_id stays, so that every run fits the same model.
+        alike = Window.partitionBy(F.get("tokens", F.lit(i))).orderBy("doc_id")
+        rows = rows.withColumn("nr", F.row_number().over(alike)).where("nr = 1")
     return rows.select("text", "toxic")
 
 
@@ -303,7 +306,8 @@ def _in_context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, usable: Column) -> Model:
     """Fit on rows of ``labels`` (doc_id, toxic) for which ``usable``, a
     condition on doc_id, holds. Null labels or ids and other values than 0 and
-    1 are ignored. Without rows of both classes the model has no landmarks."""
+    1 are ignored; of labels that repeat a doc_id the largest counts, of texts
+    the smallest. Equal tables give equal models. Without rows of both classes the model has no landmarks."""
     sample = saved(_sample(docs, labels, usable), "sample")
     counts = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     base = counts.get(1, 0) / max(1, sum(counts.values()))

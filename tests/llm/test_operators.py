@@ -178,6 +178,8 @@ def test_toxicity_learns_and_tolerates_inserted_letters(spark):
     assert min(scores[1], scores[2]) > max(scores[3], scores[4], scores[5])
     kept = toxicity.drop_toxic(docs, model)
     assert kept.columns == docs.columns and 150 <= kept.count() <= 200
+    again = toxicity.fit(docs.repartition(7, "text"), marked.repartition(3), ~toxicity.held_out())
+    assert again.landmarks == model.landmarks and np.allclose(again.weights, model.weights)
     none = toxicity.fit(docs, marked.where("toxic = 0"), ~toxicity.held_out())
     assert {r.score for r in toxicity.judged(docs, none).collect()} == {0.0}
 
