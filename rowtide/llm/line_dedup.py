@@ -1,10 +1,12 @@
 """Line deduplication by pairwise alignment.
 
 Documents that share the hash of a long line are aligned: each with the line's
-first holder, and for rare lines also with the holder just before. Patience
-diff finds the blocks of lines that both have in the same order; the later
-document (larger doc_id) loses those that are long enough. Pairs grow with the
-lines, never with the square of a line's holders, and the first holder of a
+first holder, and for rare lines also with the holder just before. So are those
+that share a run of adjacent lines which just reaches the words of a block, each
+with the run's first holder; every block that may go consists of such runs.
+Patience diff finds the blocks of lines that both have in the same order; the
+later document (larger doc_id) loses those that are long enough. Pairs grow with
+the lines, never with the square of a line's holders, and the first holder of a
 line always keeps it.
 """
 
@@ -26,6 +28,8 @@ LINK_WORDS = 5
 BLOCK_WORDS = 10
 #: A line that at most so many documents hold is rare.
 RARE = 16
+#: Modulus and base of the hashes of runs.
+PRIME, BASE = 2**61 - 1, 1_000_003_000_007
 
 
 def aligned(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -80,6 +84,46 @@ def common_blocks(later: list[int], earlier: list[int], words: list[int]) -> lis
     return gone
 
 
+def runs(lines: list[int], words: list[int]) -> list[tuple[int, int, int]]:
+    """First line, end and hash of the shortest runs of adjacent lines with the
+    words of a block that begin or end with each line. Together they cover every
+    longer block but for lines without words at its ends."""
+    found = set()
+    start = end = total = 0
+    for start, n in enumerate(words):  # the shortest from each line on
+        while end < len(words) and total < BLOCK_WORDS:
+            total += words[end]
+            end += 1
+        if total < BLOCK_WORDS:
+            break
+        if n:
+            found.add((start, end))
+        total -= n
+    start = total = 0
+    for end, n in enumerate(words, 1):  # the shortest up to each line
+        total += n
+        while total - words[start] >= BLOCK_WORDS:
+            total -= words[start]
+            start += 1
+        if n and total >= BLOCK_WORDS:
+            found.add((start, end))
+    power, sums = [1], [0]
+    for x in lines:
+        power.append(power[-1] * BASE % PRIME)
+        sums.append((sums[-1] * BASE + x) % PRIME)
+    return [(i, j, (sums[j] - sums[i] * power[j - i]) % PRIME) for i, j in sorted(found)]
+
+
+def _run_holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids, keys = [], []
+        for doc, lines, words in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "lines", "words"))):
+            own = {key for i, j, key in runs(lines, words) if j - i > 1}
+            ids += [doc] * len(own)
+            keys += own
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.int64())], names=["doc_id", "run"])
+
+
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in ("later", "lines", "words", "other")]
@@ -111,7 +155,12 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     to_first = shared.where("doc_id <> first").select(F.col("doc_id").alias("later"), F.col("first").alias("earlier"))
     before = F.lag("doc_id").over(Window.partitionBy("line").orderBy("doc_id"))
     to_last = shared.where(F.col("n") <= RARE).select(F.col("doc_id").alias("later"), before.alias("earlier"))
-    pairs = to_first.unionByName(to_last.where("earlier IS NOT NULL")).distinct()
+    # Runs of one line are among the lines above.
+    short = hashed.where(F.exists("words", lambda x: x.between(1, BLOCK_WORDS - 1))).select("doc_id", "lines", "words")
+    held = saved(short.mapInArrow(_run_holders, "doc_id long, run long"), "runs")
+    firsts = held.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("earlier")).where("n > 1")
+    by_runs = held.join(firsts, "run").where("doc_id <> earlier").select(F.col("doc_id").alias("later"), "earlier")
+    pairs = to_first.unionByName(to_last.where("earlier IS NOT NULL")).unionByName(by_runs).distinct()
     later = hashed.withColumnRenamed("doc_id", "later")
     earlier = hashed.select(F.col("doc_id").alias("earlier"), F.col("lines").alias("other"))
     both = pairs.join(earlier, "earlier").select("later", "other").join(later, "later")

@@ -233,6 +233,17 @@ def test_line_dedup_deletes_blocks_from_the_later_document(spark):
     assert line_dedup.drop_repeated_lines(table(spark, [])).collect() == []
 
 
+def test_line_dedup_links_runs_of_short_lines(spark):
+    a, b = (" ".join(prose(k, 6)) for k in (20, 21))
+    c = [" ".join(prose(k, 4)) for k in (22, 23, 24)]
+    rows = [(1, a), (2, b), (3, f"{a}\n{b}"), (10, a), (11, b), (12, f"mine\n{a}\n{b}\nmy own"), (20, "\n".join(c))]
+    rows += [(30, "\n".join(["x", *c, "y"])), (31, "\n".join(c[:2]))]
+    got = {r.doc_id: r.gone for r in line_dedup.drop_repeated_lines(table(spark, rows)).collect()}
+    assert got == {1: [], 2: [], 3: [], 10: [], 11: [], 12: [1, 2], 20: [], 30: [1, 2, 3], 31: []}
+    assert [r[:2] for r in line_dedup.runs([1, 2, 3, 4], [10, 0, 3, 9])] == [(0, 1), (0, 3), (2, 4)]
+    assert [r[:2] for r in line_dedup.runs([1, 2, 3], [12, 0, 3])] == [(0, 1), (0, 3)]
+
+
 def test_html_layout(spark):
     page = (
         "<title>t</title><p>a <b>b</b><p>c<ul><li>one<li>two</ul><table><tr><td>k<td>long cell"
