@@ -4,9 +4,9 @@ Documents that share the hash of a long line are aligned: each with the line's
 first holder, and for rare lines also with the holder just before. So are those
 that share a run of adjacent lines which just reaches the words of a block, each
 with the run's first holder; every block that may go consists of such runs.
-Patience diff finds the blocks of lines that both have in the same order; the
-later document (larger doc_id) loses those that are long enough. Pairs grow with
-the lines, never with the square of a line's holders, and the first holder of a
+Patience diff finds the blocks of lines that both have in the same order, and
+the hashes of runs those that it has no anchor for; the later document (larger
+doc_id) loses those that are long enough. Pairs grow with the lines, never with the square of a line's holders, and the first holder of a
 line always keeps it.
 """
 
@@ -71,19 +71,6 @@ def aligned(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def common_blocks(later: list[int], earlier: list[int], words: list[int]) -> list[int]:
-    """Lines of the later document in aligned blocks of enough words."""
-    gone, block, last = [], [], None
-    for i, j in [*aligned(later, earlier), (-9, -9)]:
-        if last is not None and (i, j) != (last[0] + 1, last[1] + 1):
-            if sum(words[x] for x in block) >= BLOCK_WORDS:
-                gone += block
-            block = []
-        block.append(i)
-        last = (i, j)
-    return gone
-
-
 def runs(lines: list[int], words: list[int]) -> list[tuple[int, int, int]]:
     """First line, end and hash of the shortest runs of adjacent lines with the
     words of a block that begin or end with each line. Together they cover every
@@ -114,6 +101,30 @@ def runs(lines: list[int], words: list[int]) -> list[tuple[int, int, int]]:
     return [(i, j, (sums[j] - sums[i] * power[j - i]) % PRIME) for i, j in sorted(found)]
 
 
+def common_blocks(later: list[int], earlier: list[int], words: list[int]) -> list[int]:
+    """Lines of the later document in aligned blocks of enough words, and in runs
+    of enough words that the alignment leaves: where lines repeat there may be no
+    anchor, and a passage may stand in another order or once more."""
+    gone, block, last = set(), [], None
+    for i, j in [*aligned(later, earlier), (-9, -9)]:
+        if last is not None and (i, j) != (last[0] + 1, last[1] + 1):
+            if sum(words[x] for x in block) >= BLOCK_WORDS:
+                gone.update(block)
+            block = []
+        block.append(i)
+        last = (i, j)
+    if len(gone) < len(later):
+        known = dict(zip(later, words))
+        # A line that the later document lacks is in no common run, whatever its words.
+        held = {key for _, _, key in runs(earlier, [known.get(x, BLOCK_WORDS) for x in earlier])}
+        done = 0
+        for i, j, key in runs(later, words):
+            if key in held:
+                gone.update(range(max(i, done), j))
+                done = max(done, j)
+    return sorted(gone)
+
+
 def _run_holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, keys = [], []

@@ -244,6 +244,15 @@ def test_line_dedup_links_runs_of_short_lines(spark):
     assert [r[:2] for r in line_dedup.runs([1, 2, 3], [12, 0, 3])] == [(0, 1), (0, 3)]
 
 
+def test_line_dedup_deletes_passages_without_an_anchor(spark):
+    long, other = (" ".join(prose(k, 50)) for k in (30, 31))
+    rows = [(1, f"a\n{long}\nb\n{long}\nc\n{other}\nd")]
+    rows += [(i, f"x{i}\n{long}\ny{i}") for i in range(2, 30)]
+    rows += [(40, f"{other}\nmine\n{long}\ny\n{long}\nz")]
+    got = {r.doc_id: r.gone for r in line_dedup.drop_repeated_lines(table(spark, rows)).collect()}
+    assert got == {1: [], **{i: [1] for i in range(2, 30)}, 40: [0, 2, 4]}
+
+
 def test_html_layout(spark):
     page = (
         "<title>t</title><p>a <b>b</b><p>c<ul><li>one<li>two</ul><table><tr><td>k<td>long cell"
