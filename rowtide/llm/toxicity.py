@@ -53,6 +53,11 @@ _CODE = np.zeros(256, np.uint8)
 _CODE[97:123] = np.arange(1, 27)
 _CODE[0xDF:0x100] = 27 + np.arange(0x100 - 0xDF) % 5
 _CODE[ord("^")] = 32  # where a word begins
+#: Letters above Latin-1 share the codes from 33 to 255: a prime number of
+#: codes, so that the letters of an alphabet, which lie close, get different ones.
+FIRST_WIDE, WIDE_CODES = 33, 223
+#: Of a word that can be compared at least two letters have a code.
+COMPARED = r"[a-zß-ÿ\x{100}-\x{10FFFF}].*[a-zß-ÿ\x{100}-\x{10FFFF}]"
 
 
 def units(word: str) -> list[str]:
@@ -72,8 +77,10 @@ def units(word: str) -> list[str]:
 def coded(words: list[str]) -> np.ndarray:
     """Letters as small numbers after a sign for the start, one row per word;
     other characters are gaps."""
-    raw = b"".join([b"^" + w.encode("latin-1", "replace").ljust(WIDTH - 1, b"\0") for w in words])
-    return _CODE[np.frombuffer(raw, np.uint8)].reshape(-1, WIDTH)
+    raw = "".join(["^" + w.ljust(WIDTH - 1, "\0") for w in words])
+    points = np.frombuffer(raw.encode("utf-32-le", "replace"), np.uint32)
+    wide = (FIRST_WIDE + points % WIDE_CODES).astype(np.uint8)
+    return np.where(points < 256, _CODE[points & 255], wide).reshape(-1, WIDTH)
 
 
 _FAR = DECAY ** np.maximum(np.arange(WIDTH)[None] - np.arange(WIDTH)[:, None] + 2, 0)
@@ -324,7 +331,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column) -> Model:
     ratio = 2 * F.col("bad") * F.log(F.col("bad") / (all_seen * base))
     ratio += F.when(F.col("good") > 0, 2 * F.col("good") * F.log(F.col("good") / (all_seen * (1 - base)))).otherwise(0)
     worst = (
-        seen.where(F.col("bad") > 2 * all_seen * base)
+        seen.where((F.col("bad") > 2 * all_seen * base) & F.col("unit").rlike(COMPARED))
         .withColumn("ratio", ratio)
         .where(F.col("ratio") >= least_ratio)
         .orderBy(F.desc("ratio"), "unit")

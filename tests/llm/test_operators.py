@@ -184,6 +184,18 @@ def test_toxicity_learns_and_tolerates_inserted_letters(spark):
     assert {r.score for r in toxicity.judged(docs, none).collect()} == {0.0}
 
 
+def test_toxicity_reads_letters_of_any_script(spark):
+    bad = ["gorblax", "негодяйка", "αχρείος", "混蛋东西"]
+    rows = [(i, " ".join([*prose(i, 30), *([bad[i // 4 % 4], "²²²"] if i % 4 == 0 else []), *prose(999 + i, 30)])) for i in range(400)]
+    marked = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int")
+    model = toxicity.fit(table(spark, rows), marked, ~toxicity.held_out())
+    assert set(model.landmarks) >= set(bad) and "²²²" not in model.landmarks and np.isfinite(model.weights).all()
+    tests = [(0, "fine words"), *enumerate([f"a {w} b" for w in [*bad, "него-дяйка", "негxодяйка"]], 1), (9, "спокойное слово")]
+    scores = {r.doc_id: r.score for r in toxicity.judged(table(spark, tests), model).collect()}
+    assert min(scores[i] for i in range(1, 7)) > max(scores[0], scores[9])
+    assert toxicity.THRESHOLD > max(scores[0], scores[9]) and min(scores[i] for i in range(1, 5)) >= toxicity.THRESHOLD
+
+
 def test_metric_tree_equals_brute_force(spark):
     rng = np.random.default_rng(0)
     x = np.floor(256 * rng.normal(0, 0.2, (700, 8)).astype(np.float32).astype(float)).astype(int)
