@@ -28,15 +28,23 @@ BLOCK = 256
 SCALE = 256
 #: Groups of nodes whose entries are compared at once.
 NODES_AT_ONCE = 8
-#: Allowance for rounding in distances.
-SLACK = 1e-6
+#: Allowance for rounding in distances; and in products, as a share of the
+#: largest squared norm.
+SLACK, ROUNDING = 1e-6, 1e-8
+#: Largest squared norm up to which products of doubles are exact.
+EXACT = 2**53
 
 
 def quantised(vectors: DataFrame) -> DataFrame:
     """vec_id and v (integers) of the vectors that take part: without null or
     non-finite components, not empty, with an id, and of the most frequent length."""
-    numbers = F.transform("embedding", lambda x: F.floor(SCALE * x.cast("double")).cast("int"))
-    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 2**22))
+    fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    peak = vectors.where("vec_id IS NOT NULL AND embedding IS NOT NULL").where(fine)
+    peak = peak.agg(F.max(F.array_max(F.transform("embedding", lambda x: F.abs(x.cast("double")))))).first()[0] or 0
+    if SCALE * peak >= 2**63:
+        raise ValueError(f"components up to {peak:g} give inner products beyond 64 bits")
+    kind = "int" if SCALE * peak < 2**30 else "long"
+    numbers = F.transform("embedding", lambda x: F.floor(SCALE * x.cast("double")).cast(kind))
     found = vectors.where("vec_id IS NOT NULL AND embedding IS NOT NULL").where(fine)
     found = found.select(F.col("vec_id").cast("long"), numbers.alias("v")).where(F.size("v") > 0)
     found = saved(found, "vectors")
@@ -48,6 +56,11 @@ def _matrix(column: pa.Array, rows: int) -> np.ndarray:
     return column.flatten().to_numpy().astype(np.float64).reshape(rows, -1)
 
 
+def _number(largest: float) -> type:
+    """What components are kept as: small ones are multiplied as doubles."""
+    return np.int32 if largest < EXACT else np.int64
+
+
 def _raised(v: np.ndarray, largest: float) -> np.ndarray:
     last = np.sqrt(np.maximum(largest - (v * v).sum(1), 0))
     return np.hstack([v, last[:, None]])
@@ -60,6 +73,7 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _placed(vectors: DataFrame, pivots: np.ndarray, largest: float) -> DataFrame:
     """vec_id, v and the nearest pivot of each vector."""
+    kind = vectors.schema["v"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -70,7 +84,7 @@ def _placed(vectors: DataFrame, pivots: np.ndarray, largest: float) -> DataFrame
                     [*batch.columns, pa.array(nearest, pa.int32())], names=["vec_id", "v", "pivot"]
                 )
 
-    return vectors.mapInArrow(run, "vec_id long, v array<int>, pivot int")
+    return vectors.mapInArrow(run, f"vec_id long, v {kind}, pivot int")
 
 
 def _built(batches: Iterator[pa.RecordBatch], largest: float) -> Iterator[pa.RecordBatch]:
@@ -81,8 +95,8 @@ def _built(batches: Iterator[pa.RecordBatch], largest: float) -> Iterator[pa.Rec
         for row in batch.to_pylist():
             entries = sorted(row["entries"], key=lambda e: e["vec_id"])
             ids = np.array([e["vec_id"] for e in entries])
-            v = np.array([e["v"] for e in entries], np.float64)
-            x = _raised(v, largest)
+            v = np.array([e["v"] for e in entries], _number(largest))
+            x = _raised(v.astype(np.float64), largest)
             n = max(1, int(len(x) ** 0.5))
             routers = [0]
             gap = _distances(x, x[:1])[:, 0]
@@ -101,7 +115,7 @@ def _built(batches: Iterator[pa.RecordBatch], largest: float) -> Iterator[pa.Rec
                     "pivot": row["pivot"],
                     "page": row["page"],
                     "ids": ids[order].tolist(),
-                    "v": v[order].astype(np.int32).tobytes(),
+                    "v": v[order].tobytes(),
                     "to_parent": own.tobytes(),
                     "ends": ends.astype(np.int64).tobytes(),
                     "routers": x[routers].tobytes(),
@@ -124,14 +138,17 @@ _PAGE_SQL = (
 )
 
 
-def _search(page: dict, queries: list[dict], k: int, largest: float) -> list[tuple[int, int, int]]:
-    """The page's rows that may be among the k best of each query, given its bound."""
+def _search(page: dict, queries: list[dict], k: int, largest: float) -> list[tuple[int, int, int, int, int]]:
+    """The page's rows that may be among the k best of each query, given its bound,
+    as (query_id, nr, times, vec_id, score)."""
     ids = np.array(page["ids"])
-    v = np.frombuffer(page["v"], np.int32).reshape(len(ids), -1).astype(np.float64)
+    exact = np.float64 if largest < EXACT else np.int64
+    v = np.frombuffer(page["v"], _number(largest)).reshape(len(ids), -1).astype(exact)
     to_parent, radius, to_top = (np.frombuffer(page[c], np.float64) for c in ("to_parent", "radius", "to_top"))
     ends = np.frombuffer(page["ends"], np.int64)
     routers = np.frombuffer(page["routers"], np.float64).reshape(len(radius), -1)
-    q = np.array([r["v"] for r in queries], np.float64)
+    factors = np.array([r["v"] for r in queries], exact)
+    q = factors.astype(np.float64)
     norm = (q * q).sum(1)
     raised = np.hstack([q, np.zeros((len(q), 1))])
     top = _distances(raised, routers[:1])[:, 0]
@@ -140,7 +157,7 @@ def _search(page: dict, queries: list[dict], k: int, largest: float) -> list[tup
     def best(distance: np.ndarray, square: float) -> np.ndarray:
         """The largest inner product at such a distance or more."""
         near = np.maximum(distance * (1 - SLACK) - SLACK, 0)
-        return (square + largest - near * near) / 2
+        return (square + largest - near * near) / 2 + ROUNDING * largest
 
     for i, query in enumerate(queries):
         bound = -np.inf if query["bound"] is None else query["bound"]
@@ -163,19 +180,21 @@ def _search(page: dict, queries: list[dict], k: int, largest: float) -> list[tup
             rows = np.concatenate([np.arange(ends[n], ends[n + 1]) for n in nodes])
             far = np.abs(np.repeat(to_router[some], ends[nodes + 1] - ends[nodes]) - to_parent[rows])
             rows = rows[(best(far, norm[i]) >= bound) & (ids[rows] != query["vec_id"])]
-            scores = np.concatenate([scores, (v[rows] @ q[i]).astype(np.int64)])
+            scores = np.concatenate([scores, (v[rows] @ factors[i]).astype(np.int64)])
             owners = np.concatenate([owners, ids[rows]])
             keep = np.lexsort([owners, -scores])[:k]
             scores, owners = scores[keep], owners[keep]
             if len(scores) == k:
                 bound = max(bound, scores[-1])
         fine = scores >= bound if query["bound"] is not None else scores == scores
-        found += [(query["vec_id"], int(o), int(s)) for o, s in zip(owners[fine], scores[fine])]
+        asked = query["vec_id"], query["nr"], query["times"]
+        found += [(*asked, int(o), int(s)) for o, s in zip(owners[fine], scores[fine])]
     return found
 
 
 def _searched(pairs: DataFrame, k: int, largest: float) -> DataFrame:
-    """(query_id, vec_id, score) from rows that hold a page and ``queries``."""
+    """query_id, nr, times, vec_id, score from rows that hold a page and ``queries``."""
+    names = ["query_id", "nr", "times", "vec_id", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,15 +202,14 @@ def _searched(pairs: DataFrame, k: int, largest: float) -> DataFrame:
                 row = batch.slice(i, 1).to_pylist()[0]
                 hits = _search(row, row["queries"], k, largest)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([h[c] for h in hits], pa.int64()) for c in range(3)],
-                    names=["query_id", "vec_id", "score"],
+                    [pa.array([h[c] for h in hits], pa.int64()) for c in range(5)], names=names
                 )
 
-    return pairs.mapInArrow(run, "query_id long, vec_id long, score long")
+    return pairs.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
-def _best(hits: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+def _best(hits: DataFrame, k: int, *of: str) -> DataFrame:
+    order = Window.partitionBy(*of).orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
@@ -202,22 +220,28 @@ def top_inner_products(vectors: DataFrame, queries: str, k: int = 5) -> DataFram
 
     Vectors with a null id, null or non-finite components, or another length
     than most take no part. Rows that repeat a vec_id are rows of their own,
-    none of which is a partner of the others. No vectors give no rows.
+    none of which is a partner of the others: a partner stored twice takes two
+    ranks, and so does each partner of a query stored twice. No vectors give no
+    rows; where an inner product could leave 64 bits, an error is raised.
     """
     found = quantised(vectors)
-    square = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x.cast("long") * x)
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     largest = float(found.agg(F.max(square)).first()[0] or 0)
+    if largest >= 2**63:
+        raise ValueError(f"squared norms up to {largest:g} give inner products beyond 64 bits")
     # A bounded sample of rows, the same in each run.
     sample = found.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOTS).collect()
     empty = "query_id long, rank int, vec_id long, score long"
     if not sample:
         return vectors.sparkSession.createDataFrame([], empty)
     pivots = _raised(np.array([r.v for r in sample], np.float64), largest)
-    placed = saved(_placed(found, pivots, largest), "placed")
+    # The number of a row spreads rows that repeat a vec_id over pages.
+    placed = _placed(found, pivots, largest).withColumn("row", F.monotonically_increasing_id())
+    placed = saved(placed, "placed")
     sizes = placed.groupBy("pivot").count()
     # One row per pivot.
     paged = placed.join(F.broadcast(sizes), "pivot")
-    pages = F.pmod(F.xxhash64("vec_id"), F.ceil(F.col("count") / PAGE))
+    pages = F.pmod(F.xxhash64("vec_id", "row"), F.ceil(F.col("count") / PAGE))
     paged = paged.select("pivot", pages.cast("long").alias("page"), "vec_id", "v")
     built = (
         paged.groupBy("pivot", "page")
@@ -225,23 +249,29 @@ def top_inner_products(vectors: DataFrame, queries: str, k: int = 5) -> DataFram
         .mapInArrow(lambda batches: _built(batches, largest), _PAGE_SQL)
     )
     tree = saved(built, "tree")
-    asked = placed.where(queries)
-    own = asked.withColumn("bound", F.lit(None).cast("long")).withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(8)))
-    own = own.groupBy("pivot", "block").agg(F.collect_list(F.struct("vec_id", "v", "bound")).alias("queries"))
+    # Each distinct query once, with a number among those of its vec_id.
+    asked = placed.where(queries).groupBy("pivot", "vec_id", "v").agg(F.count(F.lit(1)).alias("times"))
+    number = F.row_number().over(Window.partitionBy("vec_id").orderBy("v"))
+    asked = saved(asked.withColumn("nr", number.cast("long")), "asked")
+    query = ["vec_id", "nr", "times", "v"]
+    own = asked.withColumn("bound", F.lit(None).cast("long")).withColumn("block", F.pmod(F.xxhash64("vec_id", "nr"), F.lit(8)))
+    own = own.groupBy("pivot", "block").agg(F.collect_list(F.struct(*query, "bound")).alias("queries"))
     first = saved(_searched(tree.where("page = 0").join(own, "pivot"), k, largest), "first")
-    bounds = _best(first, k).groupBy("query_id").agg(F.min("score").alias("bound"), F.count(F.lit(1)).alias("n"))
-    bounds = bounds.where(F.col("n") == k).select(F.col("query_id").alias("vec_id"), "bound")
-    asked = asked.select("vec_id", "v").join(bounds, "vec_id", "left")
+    bounds = _best(first, k, "query_id", "nr").groupBy("query_id", "nr")
+    bounds = bounds.agg(F.min("score").alias("bound"), F.count(F.lit(1)).alias("n")).where(F.col("n") == k)
+    bounds = bounds.select(F.col("query_id").alias("vec_id"), "nr", "bound")
+    asked = asked.select(*query).join(bounds, ["vec_id", "nr"], "left")
     blocks = max(1, -(-asked.count() // BLOCK))
     slots = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     asked = (
-        asked.groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block"))
-        .agg(F.collect_list(F.struct("vec_id", "v", "bound")).alias("queries"))
+        asked.groupBy(F.pmod(F.xxhash64("vec_id", "nr"), F.lit(blocks)).alias("block"))
+        .agg(F.collect_list(F.struct(*query, "bound")).alias("queries"))
         .select("queries", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))
     )
     # Each block of queries goes once to each slot, where it meets the slot's pages.
     slotted = tree.withColumn("slot", F.pmod(F.xxhash64("pivot", "page"), F.lit(slots)).cast("int"))
-    hits = _searched(slotted.join(asked, "slot"), k, largest)
-    return _best(first.unionByName(hits).distinct(), k).select(
-        "query_id", F.col("rank").cast("int"), "vec_id", "score"
-    )
+    # All pages are searched here, the first ones again, so each row is met once.
+    hits = _best(_searched(slotted.join(asked, "slot"), k, largest), k, "query_id", "nr").drop("rank")
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.least("times", F.lit(k))))
+    hits = hits.select("query_id", "vec_id", "score", copies.alias("copy"))
+    return _best(hits, k, "query_id").select("query_id", F.col("rank").cast("int"), "vec_id", "score")

@@ -212,6 +212,26 @@ def test_metric_tree_equals_brute_force(spark):
     assert metric_tree.top_inner_products(table_.limit(0), "vec_id % 50 = 0").collect() == []
 
 
+def test_metric_tree_counts_repeated_rows_and_large_components(spark, monkeypatch):
+    monkeypatch.setattr(metric_tree, "PIVOTS", 4)
+    monkeypatch.setattr(metric_tree, "PAGE", 16)
+    rng = np.random.default_rng(1)
+    for scale in (1, 2**23):
+        x = rng.integers(-100, 100, (300, 4)) * scale + rng.integers(0, 7, (300, 4))
+        rows = [(i, v) for i, v in enumerate(x.tolist())]
+        rows += [(7, [120 * scale] * 4)] * 4 + [(0, rows[0][1])] * 2 + [(100, rows[100][1]), (100, [5, 6, 7, 8 * scale])]
+        stored = [(i, [float(c) / 256 for c in v]) for i, v in rows]
+        table_ = spark.createDataFrame(stored, "vec_id long, embedding array<double>")
+        got = [tuple(r) for r in metric_tree.top_inner_products(table_, "vec_id % 50 = 0").collect()]
+        want = []
+        for q in range(0, 300, 50):
+            pairs = [(-sum(a * b for a, b in zip(u, v)), j) for i, u in rows if i == q for j, v in rows if j != q]
+            want += [(q, rank, j, -s) for rank, (s, j) in enumerate(sorted(pairs)[:5], 1)]
+        assert sorted(got) == want
+    with pytest.raises(ValueError):
+        metric_tree.top_inner_products(spark.createDataFrame([(0, [1e30])], table_.schema), "vec_id = 0")
+
+
 def test_link_graph_rules_and_propagation(spark):
     rules = [link_graph.Rule("net", "/", "block"), link_graph.Rule("ok.net", "/en/", "allow"), link_graph.Rule("org", "/", "allow")]
     link = lambda *hosts: "".join(f'<a href="https://{h}/x">x</a>' for h in hosts)
