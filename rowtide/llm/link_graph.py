@@ -2,8 +2,10 @@
 
 Hosts of allowed pages are seeds of trust, which follows links (personalised
 PageRank); hosts of blocked pages are seeds of distrust, which follows links
-backwards. Ranks are whole numbers, so results do not depend on the order of
-sums. All steps are joins and sums over edges between hosts.
+backwards. Each ruled page gives its host the same rank however many there are,
+and only the share of distrust in a host's ranks counts, so a neighbourhood is
+judged alike in corpora of any size. Ranks are whole numbers, so results do not
+depend on the order of sums; they grow from nothing until they stand. All steps are joins and sums over edges between hosts.
 """
 
 from __future__ import annotations
@@ -16,11 +18,13 @@ from pyspark.sql import functions as F
 
 from .common import saved
 
-#: Steps, the share of a rank that follows links, and the sum of all ranks.
-STEPS, DAMPING, WHOLE = 10, 0.85, 10**15
-#: A host is blocked when distrust is at least this share of its ranks, and
-#: at least this much.
-SHARE, LEAST = 0.5, 10**6
+#: The share of a rank that follows links, and the rank that one ruled page gives
+#: out in all. Sums stay below 2^63 up to 9e9 ruled pages.
+DAMPING, PAGE_RANK = 0.85, 10**9
+#: Steps end when no rank changes by more than this.
+TOLERANCE = PAGE_RANK // 10**6
+#: A host is blocked when distrust is at least this share of its ranks.
+SHARE = 0.5
 #: Absolute links in a page.
 LINK = r"""(?i)href\s*=\s*["']?\s*(https?://[^"'\s<>]+)"""
 
@@ -72,7 +76,9 @@ def host_links(pages: DataFrame) -> DataFrame:
 
 
 def propagated(links: DataFrame, seeds: DataFrame) -> DataFrame:
-    """host, trust, distrust after STEPS steps from ``seeds`` (kind, host, n).
+    """host, trust, distrust from ``seeds`` (kind, host, n), after as many steps as
+    it takes until no rank changes by more than TOLERANCE. Changes shrink by
+    DAMPING in each step, so that they end.
 
     Rank that reaches a host without further links ends there.
     """
@@ -82,18 +88,20 @@ def propagated(links: DataFrame, seeds: DataFrame) -> DataFrame:
     totals = both.groupBy("kind", "host").agg(F.sum("n").alias("total"))
     edges = both.join(totals, ["kind", "host"]).select("kind", "host", "to", (F.col("n") / F.col("total")).alias("part"))
     edges = saved(edges, "edges")
-    sums = seeds.groupBy("kind").agg(F.sum("n").alias("total"))
-    start = seeds.join(F.broadcast(sums), "kind")  # two rows
-    start = saved(
-        start.select("kind", "host", F.floor(F.col("n") / F.col("total") * WHOLE).cast("long").alias("rank")), "seeds"
-    )
-    given = start.select("kind", "host", F.floor(F.col("rank") * (1 - DAMPING)).cast("long").alias("rank"))
-    ranks = start
-    for _ in range(STEPS):
+    own = F.col("n") * round(PAGE_RANK * (1 - DAMPING))
+    given = saved(seeds.select("kind", "host", own.cast("long").alias("rank"), F.lit(0).cast("long").alias("was")), "seeds")
+    ranks, change = given, TOLERANCE + 1
+    while change > TOLERANCE:
         moved = edges.join(ranks, ["kind", "host"]).select(
-            "kind", F.col("to").alias("host"), F.floor(F.col("rank") * DAMPING * F.col("part")).cast("long").alias("rank")
+            "kind",
+            F.col("to").alias("host"),
+            F.floor(F.col("rank") * DAMPING * F.col("part")).cast("long").alias("rank"),
+            F.lit(0).cast("long").alias("was"),
         )
-        ranks = saved(moved.unionByName(given).groupBy("kind", "host").agg(F.sum("rank").alias("rank")), "ranks")
+        before = ranks.select("kind", "host", F.lit(0).cast("long").alias("rank"), F.col("rank").alias("was"))
+        sums = moved.unionByName(given).unionByName(before).groupBy("kind", "host")
+        ranks = saved(sums.agg(F.sum("rank").alias("rank"), F.sum("was").alias("was")), "ranks")
+        change = ranks.agg(F.max(F.abs(F.col("rank") - F.col("was")))).first()[0] or 0
     of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("rank")).otherwise(0))
     return ranks.groupBy("host").agg(of("allow").alias("trust"), of("block").alias("distrust"))
 
@@ -111,7 +119,7 @@ def judged(pages: DataFrame, rules: list[Rule]) -> DataFrame:
     seeds = found.where("verdict IS NOT NULL").groupBy(F.col("verdict").alias("kind"), "host")
     ranks = propagated(saved(host_links(pages), "links"), seeds.agg(F.count(F.lit(1)).alias("n")))
     trust, distrust = (F.coalesce(c, F.lit(0)) for c in ("trust", "distrust"))
-    blocked = (distrust >= LEAST) & (distrust >= SHARE * (trust + distrust))
+    blocked = (distrust > 0) & (distrust >= SHARE * (trust + distrust))
     return found.join(ranks, "host", "left").select(
         "page_id",
         "host",

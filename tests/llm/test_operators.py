@@ -254,6 +254,26 @@ def test_link_graph_rules_and_propagation(spark):
     assert link_graph.judged(pages.limit(0), rules).collect() == []
 
 
+def test_link_graph_judges_a_neighbourhood_alike_in_any_corpus(spark):
+    rules = [link_graph.Rule("net", "/", "block"), link_graph.Rule("org", "/", "allow")]
+    seeds = [("block", "bad.net", 1), *(("block", f"s{i}.net", 1000) for i in range(2000)), ("allow", "good.org", 1)]
+    chain = [(f"c{i}.com", f"c{i - 1}.com" if i else "bad.net", 1) for i in range(25)]
+    links = [(f"l{i}.com", "bad.net", 1) for i in range(1000)] + chain + [("good.org", "fine.com", 1)]
+    of = lambda s, l: {r.host: (r.trust, r.distrust) for r in link_graph.propagated(
+        spark.createDataFrame(l, "src string, dst string, n long"), spark.createDataFrame(s, "kind string, host string, n long")
+    ).collect()}
+    large, small = of(seeds, links), of([seeds[0], seeds[-1]], links)
+    assert all(large[h] == small[h] for h in small) and small["l7.com"][1] > 0 and small["fine.com"][1] == 0
+    assert small["c0.com"][1] > 0
+    far = of([seeds[0]], chain)
+    assert all(far[f"c{i}.com"][1] > far[f"c{i + 1}.com"][1] > 0 for i in range(24))
+    link = lambda h: f'<a href="https://{h}/">x</a>'
+    rows = [(0, "https://bad.net/", "")] + [(i, f"https://s{i % 4000}.net/", "") for i in range(1, 80000)]
+    rows += [(80000 + i, f"https://l{i}.com/", link("bad.net")) for i in range(2000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.verdict for r in link_graph.judged(pages, rules).where("page_id >= 80000").collect()} == {"block"}
+
+
 def test_line_dedup_deletes_blocks_from_the_later_document(spark):
     long = " ".join(prose(9, 12))
     other = " ".join(prose(10, 12))
