@@ -38,6 +38,8 @@ IMPLIED = {
     "option": ("option", "select"),
     "body": ("head", "html"),
 }
+#: Start tags that leave an open head open; any other one closes it.
+HEAD_CONTENT = frozenset("head base basefont bgsound link meta title noscript noframes style script template".split())
 CLOSES_P = (BLOCKS - {"html", "body", "tr", "thead", "tbody", "tfoot", "caption", "option"}) | {"hr"}
 INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 SPACE = re.compile(r"[ \t\n\r\f]+")
@@ -115,7 +117,16 @@ class Renderer(HTMLParser):
             while len(self.open) > outer:
                 self.leave()
 
+    def leave_head(self) -> None:
+        """What is no head content closes a head whose end tag is left out."""
+        if self.open and self.open[-1][0] == "head":
+            self.leave()
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag == "head" and any(t != "html" for t, _ in self.open):
+            return  # only the first counts
+        if tag not in HEAD_CONTENT and tag != "html":
+            self.leave_head()
         if tag in CLOSES_P:
             self.shut("p", "td th li div article section table body button")
         if tag in IMPLIED:
@@ -192,6 +203,8 @@ class Renderer(HTMLParser):
         if tag == "br":
             self.handle_starttag("br", [])
             return
+        if tag in ("body", "html"):
+            self.leave_head()
         bound = {"li": ("ul", "ol"), "td": ("table",), "th": ("table",), "tr": ("table",)}.get(tag, ("td", "th"))
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
@@ -202,6 +215,8 @@ class Renderer(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if data.strip(" \t\n\r\f"):
+            self.leave_head()
         if self.open and self.open[-1][1]:
             return
         if self.pre:

@@ -316,6 +316,14 @@ def test_html_layout(spark):
     assert got[1] == want and got[2] == got[3] == "" and got[4] == "deep" and "x" in got[None] and "y" in got[None]
 
 
+def test_html_head_and_body_tags_may_be_left_out():
+    assert html_text.render("<html><head><title>t</title><p>text<p>more") == "text\n\nmore"
+    assert html_text.render("<head><meta charset=x><script>no</script><style>no</style> \n text <b>b</b>") == "text b"
+    assert html_text.render("<head><title>t</title><template><p>no</p></template><img alt=pic>end") == "picend"
+    assert html_text.render("<head><title>t</title></head><body><head>a<p>b") == "a\n\nb"
+    assert html_text.render("<head><title>t</title></body>end") == html_text.render("<title>t</title>end") == "end"
+
+
 def test_pipeline_runs_its_stages(spark):
     import corpus_pipeline
 
