@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import new_folder
 
+#: Bytes of text that operators over Arrow batches handle together.
+PART_BYTES = 2 << 20
+
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost executors."""
@@ -16,10 +24,18 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def table(df_or_spark, sf_dir: str, name: str) -> DataFrame:
-    return df_or_spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def whole_text(column: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def text_parts(batch: pa.RecordBatch, column: str, part_bytes: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``part_bytes`` of text each, one row at least."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    total = np.cumsum(lengths, dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        before = int(total[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(total, before + part_bytes, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
