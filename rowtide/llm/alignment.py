@@ -32,6 +32,8 @@ from .common import saved, text_parts, whole_text
 CHUNK_TOKENS = 1 << 20
 #: Bits of a B id in the number of a pair.
 B_BITS = 24
+#: Bytes of text that are encoded together: the tokenizers' own objects take fifty times that.
+TEXT_BYTES = 128 << 10
 
 TOKENS = "doc_id long, a_ids array<int>, a_ends array<int>, b_ids array<int>, b_ends array<int>, a_stops array<int>, b_stops array<int>"
 
@@ -116,6 +118,32 @@ def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
 
 
+def _aligned(
+    batches: Iterator[pa.RecordBatch], a_path: str, b_path: str, text_bytes: int
+) -> Iterator[pa.RecordBatch]:
+    """Rows of ``aligned`` for doc_id and text, a few texts at a time."""
+    names = [field.split()[0] for field in TOKENS.split(", ")]
+    sides = _sides(a_path, b_path)
+    for batch in batches:
+        for part in text_parts(batch, "text", text_bytes):
+            found = sides.tokens(part.column("text").to_pylist())
+            columns = [part.column("doc_id")]
+            ends = []
+            for side, sizes in ((0, sides.a_sizes), (1, sides.b_sizes)):
+                offsets = np.concatenate([[0], np.cumsum([len(f[side]) for f in found])]).astype(np.int64)
+                ids = np.concatenate([np.array(f[side], np.int64) for f in found])
+                end = np.cumsum(sizes[ids])
+                ends.append((end, offsets))
+                before = np.concatenate([[0], end])[offsets[:-1]]
+                columns += [_lists(ids, offsets), _lists(end - np.repeat(before, np.diff(offsets)), offsets)]
+            # The rows' bytes follow each other on both sides, so no group spans two rows.
+            stops = coalesced(ends[0][0], ends[1][0])
+            rows = np.searchsorted(stops[0], ends[0][1], "right")
+            for s, (_, offsets) in zip(stops, ends):
+                columns.append(_lists(s - np.repeat(offsets[:-1], np.diff(rows)), rows))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
 def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """Both tokenizers' tokens of each text and their groups, one row per row.
 
@@ -129,29 +157,8 @@ def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     tokens must fit in a task.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides = _sides(a_path, b_path)
-        for batch in batches:
-            for part in text_parts(batch, "text", 1 << 20):
-                found = sides.tokens(part.column("text").to_pylist())
-                columns = [part.column("doc_id")]
-                ends = []
-                for side, sizes in ((0, sides.a_sizes), (1, sides.b_sizes)):
-                    offsets = np.concatenate([[0], np.cumsum([len(f[side]) for f in found])]).astype(np.int64)
-                    ids = np.concatenate([np.array(f[side], np.int64) for f in found])
-                    end = np.cumsum(sizes[ids])
-                    ends.append((end, offsets))
-                    before = np.concatenate([[0], end])[offsets[:-1]]
-                    columns += [_lists(ids, offsets), _lists(end - np.repeat(before, np.diff(offsets)), offsets)]
-                # The rows' bytes follow each other on both sides, so no group spans two rows.
-                stops = coalesced(ends[0][0], ends[1][0])
-                rows = np.searchsorted(stops[0], ends[0][1], "right")
-                for s, (_, offsets) in zip(stops, ends):
-                    columns.append(_lists(s - np.repeat(offsets[:-1], np.diff(rows)), rows))
-                yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    names = [field.split()[0] for field in TOKENS.split(", ")]
-    return docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")).mapInArrow(run, TOKENS)
+    texts = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"))
+    return texts.mapInArrow(lambda batches: _aligned(batches, a_path, b_path, TEXT_BYTES), TOKENS)
 
 
 @lru_cache(1)
@@ -221,9 +228,12 @@ CHUNKS = (
 )
 
 
-def chunks(tokens: DataFrame) -> DataFrame:
+def chunks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """Rows of ``aligned`` by chunks: counts and digests of the chunk's rows, its
-    distinct pairs and their counts, and each link's place among those pairs."""
+    distinct pairs and their counts, and each link's place among those pairs.
+
+    Tokens become links in the same task, so they never leave it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
@@ -241,29 +251,28 @@ def chunks(tokens: DataFrame) -> DataFrame:
             values = [[number], *([r] for r in rows), [distinct[order]], [counts[order]], [rank[place]]]
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema)], schema=schema)
 
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                found = _Rows(part)
-                linked, n_links = found.links()
-                rows[0] += part.column("doc_id").to_pylist()
-                sizes = [np.diff(o) for o in found.offsets]
-                for kept, new in zip(rows[1:], (*sizes, found.groups, n_links)):
-                    kept += new.tolist()
-                rows[5] += found.digests()
-                pairs.append(linked)
-                held += int(sum(s.sum() for s in sizes))
-                if held >= CHUNK_TOKENS:
-                    yield chunk()
-                    number += 1
-                    rows, pairs, held = [[] for _ in range(6)], [], 0
+        for part in _aligned(batches, a_path, b_path, TEXT_BYTES):
+            found = _Rows(part)
+            linked, n_links = found.links()
+            rows[0] += part.column("doc_id").to_pylist()
+            sizes = [np.diff(o) for o in found.offsets]
+            for kept, new in zip(rows[1:], (*sizes, found.groups, n_links)):
+                kept += new.tolist()
+            rows[5] += found.digests()
+            pairs.append(linked)
+            held += int(sum(s.sum() for s in sizes))
+            if held >= CHUNK_TOKENS:
+                yield chunk()
+                number += 1
+                rows, pairs, held = [[] for _ in range(6)], [], 0
         if rows[0]:
             yield chunk()
 
     longs, kinds = pa.list_(pa.int64()), [pa.int64(), *[pa.list_(pa.int64())] * 5, pa.list_(pa.string())]
     kinds += [longs, longs, pa.list_(pa.int32())]
     schema = pa.schema([(field.split()[0], kind) for field, kind in zip(CHUNKS.split(", "), kinds)])
-    return tokens.mapInArrow(run, CHUNKS)
+    texts = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"))
+    return texts.mapInArrow(run, CHUNKS)
 
 
 def pair_counts(chunked: DataFrame) -> DataFrame:
@@ -275,13 +284,14 @@ def pair_counts(chunked: DataFrame) -> DataFrame:
     return counted.withColumn("best", F.col("n") == F.max("n").over(of_b))
 
 
-def linked(tokens: DataFrame) -> DataFrame:
-    """Links of each row of ``aligned``, weighed by the whole corpus: doc_id, n_a,
-    n_b, n_groups, n_links, n_best (links whose pair is the most frequent of its
-    B id, ties included), count_sum (the counts of its links' pairs), and
-    groups_sha256, the digest of its groups. Rows without tokens have zeros.
+def linked(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
+    """Links of each text's tokens, weighed by the whole corpus: doc_id, n_a, n_b,
+    n_groups, n_links, n_best (links whose pair is the most frequent of its B id,
+    ties included), count_sum (the counts of its links' pairs), and
+    groups_sha256, the digest of its groups. Texts are taken as by ``aligned``;
+    those without tokens have zeros.
     """
-    chunked = saved(chunks(tokens), "chunks")
+    chunked = saved(chunks(docs, a_path, b_path), "chunks")
     wanted = chunked.select("chunk", F.posexplode("pairs").alias("place", "pair"))
     priced = (
         wanted.join(pair_counts(chunked).hint("shuffle_hash"), "pair")

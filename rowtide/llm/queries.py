@@ -109,7 +109,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     sides = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
-    return alignment.linked(alignment.aligned(documents(spark, sf_dir), *sides))
+    return alignment.linked(documents(spark, sf_dir), *sides)
 
 
 def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -116,7 +116,7 @@ def plain(rows, columns):
 
 def test_alignment_equals_brute_force(spark, sides, monkeypatch):
     rows = EDGES + [(10 + i, prose(i, 5 + 7 * i)) for i in range(12)] + [(40 + i, prose(1, 12)) for i in range(20)]
-    got = alignment.linked(alignment.aligned(table(spark, rows).repartition(3), A, B))
+    got = alignment.linked(table(spark, rows).repartition(3), A, B)
     assert got.columns == COLUMNS
     want = sorted(aligned_by_brute_force(rows, sides), key=repr)
     assert plain(got.collect(), COLUMNS) == want
@@ -124,12 +124,13 @@ def test_alignment_equals_brute_force(spark, sides, monkeypatch):
 
 
 def test_alignment_over_many_chunks(spark, sides, monkeypatch):
-    # Chunks of one part each, as many rows of a part as its slices hold.
+    # A chunk for each few texts that are encoded together.
+    monkeypatch.setattr(alignment, "TEXT_BYTES", 500)
     monkeypatch.setattr(alignment, "CHUNK_TOKENS", 1)
     rows = [(i, prose(i % 9, 3 + i % 9)) for i in range(600)]
-    tokens = alignment.aligned(table(spark, rows).coalesce(1), A, B)
-    assert alignment.chunks(tokens).count() > 1
-    assert plain(alignment.linked(tokens).collect(), COLUMNS) == sorted(aligned_by_brute_force(rows, sides), key=repr)
+    docs = table(spark, rows).coalesce(1)
+    assert alignment.chunks(docs, A, B).count() > 1
+    assert plain(alignment.linked(docs, A, B).collect(), COLUMNS) == sorted(aligned_by_brute_force(rows, sides), key=repr)
 
 
 def test_alignment_rows_keep_tokens_and_groups(spark, sides):
@@ -144,9 +145,9 @@ def test_alignment_rows_keep_tokens_and_groups(spark, sides):
 
 def test_alignment_of_a_long_text_and_of_no_rows(spark):
     long = prose(5, 60_000)
-    row = alignment.linked(alignment.aligned(table(spark, [(1, long), (2, "short")]), A, B)).where("doc_id = 1").first()
+    row = alignment.linked(table(spark, [(1, long), (2, "short")]), A, B).where("doc_id = 1").first()
     assert row.n_links >= max(row.n_a, row.n_b) and row.n_links == row.n_a + row.n_b - row.n_groups
-    assert alignment.linked(alignment.aligned(table(spark, []), A, B)).collect() == []
+    assert alignment.linked(table(spark, []), A, B).collect() == []
 
 
 def test_crc_matrices_equal_zlib():
