@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .byte_bpe import byte_characters
+from .byte_bpe import TWO_SPACES, byte_characters
 from .common import saved, text_parts, whole_text
 
 #: Tokens of both tokenizers in a chunk, about; one text is never cut.
@@ -34,6 +35,8 @@ CHUNK_TOKENS = 1 << 20
 B_BITS = 24
 #: Bytes of text that are encoded together: the tokenizers' own objects take fifty times that.
 TEXT_BYTES = 128 << 10
+#: Words that a worker remembers, about 300 bytes each; beyond it, memory is cleared, results stay the same.
+REMEMBERED = 100_000
 
 TOKENS = "doc_id long, a_ids array<int>, a_ends array<int>, b_ids array<int>, b_ends array<int>, a_stops array<int>, b_stops array<int>"
 
@@ -60,11 +63,15 @@ class Sides:
         self.a_sizes = np.array([len(t) for t in self.a_bytes], np.int64)
         self.b_sizes = np.array([len(t) for t in self.b_bytes], np.int64)
 
-    def tokens(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of both for each text, none where they do not spell space and text."""
+        # Where no piece holds a space after its start, B's tokens never cross one.
+        self.apart = not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.get_piece_size()))
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+
+    def encoded(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """Ids of both as 32-bit numbers, None where they do not spell space and text."""
         a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
         b = self.b.encode(texts, num_threads=1)
-        found = []
+        found: list[tuple[bytes, bytes] | None] = []
         for text, a_ids, b_ids in zip(texts, a, b):
             whole = (" " + text).encode()
             same = (
@@ -72,7 +79,43 @@ class Sides:
                 and b"".join(map(self.a_bytes.__getitem__, a_ids)) == whole
                 and b"".join(map(self.b_bytes.__getitem__, b_ids)) == whole
             )
-            found.append((a_ids, b_ids) if same else ([], []))
+            found.append((array("I", a_ids).tobytes(), array("I", b_ids).tobytes()) if same else None)
+        return found
+
+    def separate(self, words: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """``encoded`` of words without spaces: encoded as one text and cut where
+        they end, or one by one if a side does not spell that text."""
+        whole = self.encoded([" ".join(words)])[0] if words else None
+        if whole is None:
+            return self.encoded(words) if words else []
+        ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        sides = []
+        for ids, sizes in zip(whole, (self.a_sizes, self.b_sizes)):
+            stops = 4 * np.searchsorted(np.cumsum(sizes[np.frombuffer(ids, np.uint32)]), ends, "right")
+            sides.append([ids[i:j] for i, j in zip([0, *stops.tolist()], stops.tolist())])
+        return list(zip(*sides))
+
+    def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of both for each text, none where they do not spell space and text.
+
+        Both tokenizers end a token before a single space between two other
+        characters. Texts without other spaces are encoded word by word, and
+        words are remembered.
+        """
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        words = [t.split(" ") if self.apart and not TWO_SPACES.search(f" {t} ") else [] for t in texts]
+        new = list({w for several in words for w in several if w not in self.known})
+        self.known.update(zip(new, self.separate(new)))
+        rest = iter(self.encoded([t for t, several in zip(texts, words) if not several]))
+        found = []
+        for several in words:
+            each = [self.known[w] for w in several] or [next(rest)]
+            sides = ([e[0] for e in each], [e[1] for e in each]) if None not in each else ([], [])
+            found.append(tuple(np.frombuffer(b"".join(s), np.uint32) for s in sides))
+        for w in new:
+            if len(w) > 64:
+                del self.known[w]
         return found
 
 
@@ -131,7 +174,7 @@ def _aligned(
             ends = []
             for side, sizes in ((0, sides.a_sizes), (1, sides.b_sizes)):
                 offsets = np.concatenate([[0], np.cumsum([len(f[side]) for f in found])]).astype(np.int64)
-                ids = np.concatenate([np.array(f[side], np.int64) for f in found])
+                ids = np.concatenate([f[side] for f in found]).astype(np.int64)
                 end = np.cumsum(sizes[ids])
                 ends.append((end, offsets))
                 before = np.concatenate([[0], end])[offsets[:-1]]

@@ -143,6 +143,20 @@ def test_alignment_rows_keep_tokens_and_groups(spark, sides):
     assert rows[2].a_ids == rows[3].a_ids == rows[3].b_stops == []
 
 
+def test_words_are_encoded_as_in_their_texts(sides, monkeypatch):
+    both = alignment.Sides(A, B)
+    assert both.apart
+    rng = random.Random(8)
+    parts = ["a", "Ab", "don't", "'s", "12", "é", "日本", "😀", "\n", "\n\n", " ", "  ", ".", ",\u00a0", "\t", "▁", "\0", "w" * 90]
+    texts = ["".join(rng.choice(parts + [" "] * 9) for _ in range(rng.randint(0, 25))) for _ in range(3000)]
+    texts += [" ".join(rng.choice(parts).strip() or "x" for _ in range(9)) for _ in range(1000)]
+    monkeypatch.setattr(alignment, "REMEMBERED", 50)
+    got = [f for at in range(0, len(texts), 37) for f in both.tokens(texts[at : at + 37])]
+    for text, (a, b) in zip(texts, got):
+        assert [a.tolist(), b.tolist()] == [[t[0] for t in side] for side in sides(text)], text
+    assert not any(len(w) > 64 for w in both.known)
+
+
 def test_alignment_of_a_long_text_and_of_no_rows(spark):
     long = prose(5, 60_000)
     row = alignment.linked(table(spark, [(1, long), (2, "short")]), A, B).where("doc_id = 1").first()
