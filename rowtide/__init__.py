@@ -36,7 +36,7 @@ from .sinks.messages import (
 from .sinks.tables import TableSpec, ensure_table, remove_old_versions, upsert_table
 from .sources import changes_from_events, jdbc_options, kafka_source_options, read_changes, read_lines
 from .streaming.fan_out import fan_out
-from .streaming.options import JobOptions, use_rocksdb_state
+from .streaming.options import JobOptions, rocksdb_state, use_rocksdb_state
 from .streaming.temporal import temporal_join_stream
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -22,7 +22,7 @@ from ..operators.upsert import stamp_partition
 from ..sinks.messages import to_kafka_columns, with_parallelism, with_partition_key
 from ..sinks.tables import TableSpec, ensure_table, upsert_table
 from ..streaming.fan_out import fan_out
-from ..streaming.options import JobOptions, use_rocksdb_state
+from ..streaming.options import JobOptions, rocksdb_state
 from ..streaming.temporal import temporal_join_stream
 
 
@@ -217,9 +217,13 @@ def run_tables(
     )
 
 
-def run_join(options: JobOptions, joined: DataFrame) -> DataStreamWriter:
-    """The writer of a joined stream with the options' checkpoint, trigger and
-    name. Keyed state is kept in RocksDB."""
-    use_rocksdb_state(joined.sparkSession)
+def run_join(
+    options: JobOptions, joined: DataFrame, sink: Callable[[DataStreamWriter], DataStreamWriter]
+) -> StreamingQuery:
+    """Start a joined stream with the options' checkpoint, trigger and name;
+    ``sink`` adds the output to the writer. Keyed state is kept in RocksDB, by
+    this query only."""
     writer = joined.writeStream.option("checkpointLocation", options.checkpoint_dir).trigger(**options.trigger)
-    return writer.queryName(options.name) if options.name else writer
+    writer = sink(writer.queryName(options.name) if options.name else writer)
+    with rocksdb_state(joined.sparkSession):
+        return writer.start()

@@ -20,5 +20,9 @@ CHECKS: dict[str, str] = {
         SELECT * FROM both_sides QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY seq DESC) = 1)
         SELECT CAST(parts AS INTEGER) AS parts, o_orderkey, o_orderstatus, o_totalprice
         FROM newest, (VALUES {", ".join(f"({n})" for n in SNAPSHOT_PARTS)}) p(parts) WHERE NOT gone""",
+    "stream_state_join": f"""WITH {LOG}, {DIMS}
+        SELECT f.id, f.name, f.seq, d.id AS id0, d.name AS name0, d.modify_time, d.seq AS seq0
+        FROM facts f ASOF JOIN dims d ON f.id = d.id AND f.seq >= d.seq
+        WHERE f.seq * 4 // ((SELECT max(event_id) FROM events) + 1) > 0""",
     "snapshot_splits": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
 }

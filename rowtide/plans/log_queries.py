@@ -20,7 +20,9 @@ from ..operators.snapshot import (
 )
 from ..operators.upsert import latest_per_key, merge_upsert
 from ..storage import new_folder
-from .queries import table
+from ..streaming.options import rocksdb_state
+from ..streaming.state_join import temporal_join_state
+from .queries import _dims, _facts, _in_slices, table
 
 SNAPSHOT_PARTS = (2, 5)
 ORDER_COLUMNS = ["o_orderkey", "o_orderstatus", "o_totalprice"]
@@ -87,6 +89,40 @@ def snapshot_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+FACT_SCHEMA = "id STRING, name STRING, seq BIGINT"
+DIM_SCHEMA = "id STRING, name STRING, modify_time STRING, seq BIGINT"
+
+
+def stream_state_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases joined to a dimension in typed state: the first slice of the
+    dimension is a snapshot, the rest comes as a stream that is restarted twice."""
+    folder = new_folder(spark, "state")
+    last = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0]
+    facts = _in_slices(_facts(spark, sf_dir), last, 4)[1:]
+    snapshot, *dims = _in_slices(_dims(spark, sf_dir), last, 4)
+    snapshot = latest_per_key(snapshot, ["id"], ["seq"]).select("id", "name", "modify_time", "seq")
+    snapshot.write.parquet(f"{folder}/snapshot")
+    for fact_part, dim_part in zip(facts, dims):
+        fact_part.write.mode("append").parquet(f"{folder}/facts")
+        dim_part.select("id", "name", "modify_time", "seq").write.mode("append").parquet(f"{folder}/dims")
+        sides = [
+            spark.readStream.schema(schema).parquet(f"{folder}/{name}")
+            for name, schema in (("facts", FACT_SCHEMA), ("dims", DIM_SCHEMA))
+        ]
+        initial = spark.read.schema(DIM_SCHEMA).parquet(f"{folder}/snapshot")
+        joined = temporal_join_state(*sides, "id", "seq", initial=initial, spread=2, held_facts=100)
+        writer = (
+            joined.writeStream.format("parquet")
+            .option("path", f"{folder}/joined")
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True)
+        )
+        with rocksdb_state(spark):
+            query = writer.start()
+        query.awaitTermination()
+    return spark.read.schema(joined.schema).parquet(f"{folder}/joined")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (snapshot_with_running_log, snapshot_splits)
+    f.__name__: f for f in (snapshot_with_running_log, snapshot_splits, stream_state_join)
 }

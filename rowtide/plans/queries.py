@@ -532,8 +532,6 @@ def stream_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.concat_ws(",", F.col("user_id") % 3, "event_type", F.floor(seq / 4), seq)
     lines = events.select(seq.alias("seq"), (F.col("event_type") == "purchase").alias("fact"), line.alias("value"))
     options = JobOptions.for_job("lines_with_dimension", checkpoint_dir=f"{folder}/checkpoint", once=True)
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider)
     for part in _in_slices(lines, last):
         sides = []
         for name, chosen in (("facts", F.col("fact")), ("dims", ~F.col("fact"))):
@@ -542,9 +540,8 @@ def stream_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             rows = read_lines(spark, f"{folder}/{name}", streaming=True)
             sides.append(rows.withColumns({n: fields[i].cast("bigint") for n, i in (("moment", 2), ("seq", 3))}))
         joined = lines_with_dimension(*sides, ["moment", "seq"], spread=4)
-        writer = run_join(options, joined).format("parquet").option("path", f"{folder}/joined")
-        writer.start().awaitTermination()
-    spark.conf.set(provider, before)
+        sink = lambda writer: writer.format("parquet").option("path", f"{folder}/joined")
+        run_join(options, joined, sink).awaitTermination()
     return spark.read.schema(joined.schema).parquet(f"{folder}/joined")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field, fields
 
 from pyspark.sql import SparkSession
@@ -82,3 +84,20 @@ def use_rocksdb_state(spark: SparkSession) -> None:
     spark.conf.set(
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"
     )
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """RocksDB state for the queries started inside, and for no others: a query
+    keeps the settings of the moment it starts."""
+    names = [
+        "spark.sql.streaming.stateStore.providerClass",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
+    ]
+    before = {n: spark.conf.get(n, None) for n in names}
+    use_rocksdb_state(spark)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -13,6 +13,7 @@ from rowtide import (
     fan_out,
     read_changes,
     read_lines,
+    rocksdb_state,
     temporal_join,
     temporal_join_stream,
     use_rocksdb_state,
@@ -325,7 +326,16 @@ def test_options_reach_the_queries(spark):
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider)
     rows = stream(spark, f"{folder}/log").selectExpr("'a' AS id", "seq")
-    query = run_join(JobOptions(checkpoint_dir=f"{folder}/cp2", once=True, name="join"), rows).format("noop").start()
+    during = []
+
+    def sink(writer):
+        during.append(spark.conf.get(provider))
+        return writer.format("noop")
+
+    query = run_join(JobOptions(checkpoint_dir=f"{folder}/cp2", once=True, name="join"), rows, sink)
     query.awaitTermination()
-    assert query.name == "join" and "RocksDB" in spark.conf.get(provider)
-    spark.conf.set(provider, before)
+    # The query's own session has the setting, the caller's never kept it.
+    assert query.name == "join" and spark.conf.get(provider) == before == during[0]
+    with rocksdb_state(spark):
+        assert "RocksDB" in spark.conf.get(provider)
+    assert spark.conf.get(provider) == before
