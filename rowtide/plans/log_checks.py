@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .checks import DIMS, LOG, VERSIONS
+from .checks import DIMS, LOG
 from .log_queries import SNAPSHOT_PARTS
 
 ORDER_LOG = """
@@ -24,5 +24,13 @@ CHECKS: dict[str, str] = {
         SELECT f.id, f.name, f.seq, d.id AS id0, d.name AS name0, d.modify_time, d.seq AS seq0
         FROM facts f ASOF JOIN dims d ON f.id = d.id AND f.seq >= d.seq
         WHERE f.seq * 4 // ((SELECT max(event_id) FROM events) + 1) > 0""",
+    "late_changes_after_deletes": """
+        SELECT CAST(user_id AS VARCHAR) AS id, CASE WHEN event_type <> 'error' THEN event_type END AS name,
+               strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS modify_time
+        FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "versions_kept_up": f"""WITH {LOG}, {DIMS}
+        SELECT id, name, modify_time, modify_time AS valid_from,
+               lead(modify_time) OVER (PARTITION BY id ORDER BY modify_time) AS valid_to
+        FROM dims""",
     "snapshot_splits": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
 }

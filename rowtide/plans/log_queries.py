@@ -6,6 +6,7 @@ Like those of ``queries``, each takes ``(spark, sf_dir)``; their SQL is in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,6 +20,10 @@ from ..operators.snapshot import (
     snapshot_rows,
 )
 from ..operators.upsert import latest_per_key, merge_upsert
+from ..sinks.event_order import buried, upsert_in_event_order
+from ..sinks.tables import TableSpec, ensure_table
+from ..sinks.version_table import VersionSpec, stored_versions, update_versions
+from ..sources.events_log import TIME_PATTERN
 from ..storage import new_folder
 from ..streaming.options import rocksdb_state
 from ..streaming.state_join import temporal_join_state
@@ -123,6 +128,52 @@ def stream_state_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(joined.schema).parquet(f"{folder}/joined")
 
 
+def late_changes_after_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes and deletes in three batches that arrive in no order: the last
+    event of a key counts, and a late change does not undo a delete."""
+    folder = new_folder(spark, "order")
+    time = F.date_format("ts", TIME_PATTERN)
+    events = table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("id"),
+        F.col("event_type").alias("name"),
+        time.alias("modify_time"),
+        F.substring(time, 1, 10).alias("logday"),
+        (F.col("event_type") == "error").alias("deleted"),
+        "event_id",
+    )
+    spec = TableSpec(
+        f"by_event_{uuid.uuid4().hex[:12]}", f"{folder}/table", ("id", "name", "modify_time"), "modify_time",
+        partition_by=("logday",), buckets=4,
+    )
+    ensure_table(spark, spec)
+    for turn in (2, 0, 1):
+        upsert_in_event_order(spec, events.where(F.col("event_id") * 7 % 11 % 3 == turn))
+    rows = spark.table(spec.name).select("id", "name", "modify_time")
+    gone = buried(spark, spec).join(rows.select("id"), "id", "left_anti")
+    return rows.unionByName(gone.withColumn("name", F.lit(None).cast("string")))
+
+
+def versions_kept_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension's versions stored batch by batch, late rows included."""
+    folder = new_folder(spark, "versions")
+    dims = _dims(spark, sf_dir).select("id", "name", "modify_time")
+    spec = VersionSpec(
+        f"versions_{uuid.uuid4().hex[:12]}", f"{folder}/table", ("id", "name", "modify_time"), ("id",),
+        "modify_time", parts=4, period_length=9,
+    )
+    turn = F.pmod(F.xxhash64("modify_time"), F.lit(3))
+    for n in (1, 2, 0):
+        update_versions(spark, spec, dims.where(turn == n))
+    return stored_versions(spark, spec)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (snapshot_with_running_log, snapshot_splits, stream_state_join)
+    f.__name__: f
+    for f in (
+        snapshot_with_running_log,
+        snapshot_splits,
+        stream_state_join,
+        late_changes_after_deletes,
+        versions_kept_up,
+    )
 }
