@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .byte_bpe import TWO_SPACES, byte_characters
-from .common import saved, text_parts, whole_text
+from .common import kept_by_worker, saved, text_parts, whole_text
 
 #: Tokens of both tokenizers in a chunk, about; one text is never cut.
 CHUNK_TOKENS = 1 << 20
@@ -119,9 +119,8 @@ class Sides:
         return found
 
 
-@lru_cache(1)
 def _sides(a_path: str, b_path: str) -> Sides:
-    return Sides(a_path, b_path)
+    return kept_by_worker(("alignment", a_path, b_path), lambda: Sides(a_path, b_path))
 
 
 def coalesced(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -19,13 +19,14 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from public_tokenizers import PATTERN
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text
+from .common import kept_by_worker, whole_text
 
-#: Parts and pieces that a worker remembers; beyond it, memory is cleared, results stay the same.
-REMEMBERED = 1_200_000
+#: Parts and pieces that a worker remembers, about 200 bytes each; beyond it, memory is cleared, results stay the same.
+REMEMBERED = 400_000
 #: Bytes of text per output batch.
 BATCH_BYTES = 8 << 20
 
@@ -54,7 +55,14 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
-@lru_cache(4)
+def byte_table(ranks: dict[bytes, int]) -> list[bytes]:
+    """The bytes of each id."""
+    table = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        table[rank] = token
+    return table
+
+
 def load(path: str, pattern: str):
     """The tokenizer of a rank file, and the bytes of each id."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -85,14 +93,7 @@ def load(path: str, pattern: str):
             pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
         ]
     )
-    back = {c: b for b, c in enumerate(shown)}
-    size = max(ranks.values()) + 1
-    table = [b""] * size
-    for i in range(size):
-        token = tokenizer.id_to_token(i)
-        if token is not None:
-            table[i] = bytes(back[c] for c in token)
-    return tokenizer, table
+    return tokenizer, byte_table(ranks)
 
 
 class Encoder:
@@ -106,6 +107,7 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         self.tokenizer, self.table = load(path, pattern)
         self.model = self.tokenizer.model
+        self.apart = pattern == PATTERN
         self.shown = byte_characters()
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.parts: dict[str, tuple[int, ...]] = {}
@@ -144,6 +146,8 @@ class Encoder:
         return ids
 
     def encode(self, text: str) -> list[int]:
+        if not self.apart:  # where another pattern cuts is its own affair
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
         if len(self.pieces) + len(self.parts) > REMEMBERED:
             self.pieces.clear()
             self.parts.clear()
@@ -159,10 +163,9 @@ class Encoder:
         return ids + list(self.run(end))
 
 
-@lru_cache(2)
 def encoder(path: str, pattern: str) -> Encoder:
-    """The worker's encoder; workers outlive tasks."""
-    return Encoder(path, pattern)
+    """The worker's encoder."""
+    return kept_by_worker(("byte_bpe", path, pattern), lambda: Encoder(path, pattern))
 
 
 def char_spans(text: str, ids: list[int], table: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -200,11 +203,19 @@ def _lists(values: list, kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
 
 
-def encode(docs: DataFrame, path: str, pattern: str, offsets: bool = False) -> DataFrame:
+def decoded_rows(rows: list[list[int] | None], table: list[bytes]) -> pa.Array:
+    """The bytes that each row's ids spell."""
+    return pa.array([b"".join(map(table.__getitem__, row or ())) for row in rows], pa.binary())
+
+
+def encode(
+    docs: DataFrame, path: str, pattern: str, offsets: bool = False, decoded: bool = False
+) -> DataFrame:
     """doc_id and ``ids`` (array of int) of each whole text, one row per row.
 
     With ``offsets``, also ``starts`` and ``ends``: the characters that each id
-    covers. A null text counts as empty and has no ids; doc_id may be null or
+    covers. With ``decoded``, also what ``decode`` makes of the ids, in the same
+    worker. A null text counts as empty and has no ids; doc_id may be null or
     repeat; other columns are ignored. Strings of special tokens are ordinary
     text.
     """
@@ -220,10 +231,13 @@ def encode(docs: DataFrame, path: str, pattern: str, offsets: bool = False) -> D
                     table = known.table
                     spans = [char_spans(t, i, table) for t, i in zip(texts, ids)]
                     out += [_lists([s[k] for s in spans], pa.int32()) for k in (0, 1)]
+                if decoded:
+                    out.append(decoded_rows(ids, known.table))
                 yield pa.RecordBatch.from_arrays(out, names=names)
 
-    names = ["doc_id", "ids"] + ["starts", "ends"] * offsets
+    names = ["doc_id", "ids"] + ["starts", "ends"] * offsets + ["decoded"] * decoded
     schema = "doc_id long, ids array<int>" + ", starts array<int>, ends array<int>" * offsets
+    schema += ", decoded binary" * decoded
     return docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")).mapInArrow(run, schema)
 
 
@@ -236,13 +250,13 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = load(path, pattern)[1].__getitem__
+        table = kept_by_worker(("byte_bpe", "bytes", path), lambda: byte_table(read_ranks(path)))
         for batch in batches:
             for at in range(0, max(1, batch.num_rows), 256):
                 part = batch.slice(at, 256)
-                decoded = [b"".join(map(table, row or ())) for row in part.column("ids").to_pylist()]
+                decoded = decoded_rows(part.column("ids").to_pylist(), table)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("ids"), pa.array(decoded, pa.binary())],
+                    [part.column("doc_id"), part.column("ids"), decoded],
                     names=["doc_id", "ids", "decoded"],
                 )
 

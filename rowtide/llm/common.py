@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..storage import new_folder
 
+T = TypeVar("T")
+
 #: Bytes of text that operators over Arrow batches handle together.
 PART_BYTES = 2 << 20
 
@@ -24,6 +28,24 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_kept: dict[tuple, object] = {}
+
+
+def kept_by_worker(key: tuple, build: Callable[[], T]) -> T:
+    """What ``build`` gives, kept while a worker works for one operator.
+
+    Workers outlive tasks. What another operator left behind, its tokenizer and
+    the words it remembered, is dropped first, so a worker holds those of one
+    operator, the first part of the key, at a time.
+    """
+    if key not in _kept:
+        for other in [k for k in _kept if k[0] != key[0]]:
+            del _kept[other]
+        gc.collect()
+        _kept[key] = build()
+    return _kept[key]
+
+
 def whole_text(column: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -9,7 +9,8 @@ Pages are independent; Spark spreads them over tasks.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -94,6 +95,7 @@ class Renderer(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, bool]] = []  # tag, hidden
+        self.places: dict[str, list[int]] = {}  # where each tag is open, outermost first
         self.out = [Lines()]
         self.lists: list[int] = []  # 0 for bullets, else the next number
         self.tables: list[list[list[str]]] = []
@@ -105,18 +107,21 @@ class Renderer(HTMLParser):
 
     def shut(self, tags: str, bounds: str) -> None:
         """Close the innermost of ``tags`` that is open within ``bounds``."""
-        names, stop = tags.split(), bounds.split()
-        outer = None
-        for i in range(len(self.open) - 1, -1, -1):
-            tag = self.open[i][0]
-            if tag in names:
-                outer = i
-            elif tag in stop:
-                break
+        names = tags.split()
+        bound = self.innermost(t for t in bounds.split() if t not in names)
+        outer = min((p[bisect_right(p, bound)] for t in names if (p := self.places.get(t)) and p[-1] > bound), default=None)
         if outer is not None:
             while len(self.open) > outer:
                 self.leave()
 
+    def innermost(self, tags: Iterable[str]) -> int:
+        """Where the innermost of ``tags`` is open, -1 if none is."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=-1)
+
+    def enter(self, tag: str, hidden: bool) -> None:
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, hidden))
+
     def leave_head(self) -> None:
         """What is no head content closes a head whose end tag is left out."""
         if self.open and self.open[-1][0] == "head":
@@ -143,13 +148,13 @@ class Renderer(HTMLParser):
             elif not hidden and tag == "img" and own.get("alt"):
                 out.text(own["alt"], self.indent)
             return
-        self.open.append((tag, hidden))
+        if tag in ("td", "th") and not hidden and not self.tables:
+            self.tables.append([])
+            self.enter("table", False)
+        self.enter(tag, hidden)
         if hidden:
             return
         if tag in ("td", "th"):
-            if not self.tables:
-                self.tables.append([])
-                self.open.insert(-1, ("table", False))
             if not self.tables[-1]:
                 self.tables[-1].append([])
             self.out.append(Lines())
@@ -175,6 +180,7 @@ class Renderer(HTMLParser):
 
     def leave(self) -> None:
         tag, hidden = self.open.pop()
+        self.places[tag].pop()
         if hidden:
             return
         if tag in ("td", "th"):
@@ -206,13 +212,13 @@ class Renderer(HTMLParser):
         if tag in ("body", "html"):
             self.leave_head()
         bound = {"li": ("ul", "ol"), "td": ("table",), "th": ("table",), "tr": ("table",)}.get(tag, ("td", "th"))
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                while len(self.open) > i:
-                    self.leave()
-                return
-            if self.open[i][0] in bound and tag not in ("table", "tbody", "thead", "tfoot", "body", "html"):
+        at = self.innermost([tag])
+        if tag not in ("table", "tbody", "thead", "tfoot", "body", "html"):
+            bound = self.innermost(t for t in bound if t != tag)
+            if bound > at:
                 return
+        while at >= 0 and len(self.open) > at:
+            self.leave()
 
     def handle_data(self, data: str) -> None:
         if data.strip(" \t\n\r\f"):

@@ -14,7 +14,6 @@ import heapq
 import os
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .byte_bpe import byte_characters
-from .common import whole_text
+from .common import kept_by_worker, whole_text
 
 #: Tokens per sequence.
 SEQ_LEN = 2048
@@ -32,15 +31,16 @@ BLOCK_TOKENS = 1 << 20
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 #: Id that ends each document.
 END_ID = 1
-#: Words and pieces that a worker remembers; beyond it, memory is cleared, results stay the same.
-REMEMBERED = 1_200_000
+#: Words and pieces that a worker remembers, about 200 bytes each; beyond it, memory is cleared, results stay the same.
+REMEMBERED = 400_000
+#: A text that tells tokenizers with other rules for words apart.
+PROBE = "Don't  stop,it's 12,345 Naïve\n\tÜnïcode-words!? a_b ''ll #x 日本 é"
 #: Words of these characters are split here; the tokenizer splits all others.
 PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")
 #: The file's split pattern for lower-cased plain words.
 PLAIN_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
 
-@lru_cache(2)
 def load(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -61,6 +61,9 @@ class Words:
         self.shown = byte_characters()
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        ids = [int.from_bytes(raw[i : i + 4], "little") for raw in [self.encode(PROBE.encode())] for i in range(0, len(raw), 4)]
+        if ids != self.tokenizer.encode(PROBE, add_special_tokens=False).ids:
+            raise ValueError(f"{path} does not encode texts word by word as this operator does")
 
     def piece(self, piece: str) -> bytes:
         """Ids of one match of the tokenizer's split pattern."""
@@ -92,10 +95,9 @@ class Words:
         return b"".join([get(w) or word(w) for w in text.split()])
 
 
-@lru_cache(2)
 def known_words(path: str) -> Words:
-    """The worker's encoder; workers outlive tasks."""
-    return Words(path)
+    """The worker's encoder."""
+    return kept_by_worker(("packing", path), lambda: Words(path))
 
 
 def capacities(tokens: int, seq_len: int) -> list[int]:

@@ -97,9 +97,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = byte_bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
-    decoded = byte_bpe.decode(encoded, ranks, public_tokenizers.PATTERN)
-    return decoded.select(
+    # Decoded where it was encoded: a second worker per task would hold the vocabulary once more.
+    coded = byte_bpe.encode(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN, decoded=True)
+    return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),

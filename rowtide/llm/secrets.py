@@ -216,10 +216,13 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 
 def mask_secrets(docs: DataFrame) -> DataFrame:
     """``docs`` with each stretch of secrets in ``text`` replaced by ``MASK``;
-    other rows and columns stay as they are."""
+    other rows and columns, whatever their names, stay as they are. Null and
+    empty texts stay; repeated rows are masked alike."""
     # The limits come from all tokens; the texts are scanned again rather than shuffled.
     found = saved(scanned(docs.select("doc_id", "text")).select("_tested"), "tested")
-    rows = with_spans(scanned(docs), limits(found))
+    # The row is carried as one value, so its columns' names cannot clash.
+    whole = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    rows = with_spans(scanned(whole), limits(found))
     text = F.col("text")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -233,7 +236,7 @@ def mask_secrets(docs: DataFrame) -> DataFrame:
     masked = F.aggregate(
         "_spans", start, step, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
     )
-    shown = {c: F.col(f"`{c}`") for c in docs.columns}
+    shown = {c: F.col(f"_row.`{c}`") for c in docs.columns}
     shown["text"] = F.when(F.size("_spans") > 0, masked).otherwise(text)
     if "n_chars" in shown:
         shown["n_chars"] = F.when(F.size("_spans") > 0, F.length(masked).cast("long")).otherwise(shown["n_chars"])

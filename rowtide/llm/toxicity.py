@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved, whole_text
+from .common import kept_by_worker, saved, text_parts, whole_text
 from .near_dedup import signatures
 
 #: Labelled rows that are used for fitting, at most: toxic and other.
@@ -44,8 +44,9 @@ WIDTH = 24
 LEAST_PAIRS, LEAST_KERNEL = 0.6, 0.3
 #: Score from which a document is toxic.
 THRESHOLD = 0.7
-#: Words that a worker remembers.
-REMEMBERED = 2_000_000
+#: Words that a worker remembers: those without features, about 120 bytes each,
+#: and those with some, about 400. Beyond it, memory is cleared, results stay the same.
+REMEMBERED, REMEMBERED_HOT = 400_000, 50_000
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -167,8 +168,6 @@ class Featurizer:
 
     def learn(self, words: set[str]) -> None:
         """Compare words that were not met before."""
-        if len(self.cold) > REMEMBERED:
-            self.cold.clear()
         new = [w for w in words if w not in self.hot]
         own = [units(w) for w in new]
         flat = list(dict.fromkeys(u for us in own for u in us))
@@ -185,6 +184,10 @@ class Featurizer:
     def texts(self, texts: list[str]) -> list[np.ndarray]:
         """For each text the features of its sentences that have any. A sentence
         ends with a word that ends in a full stop, exclamation or question mark."""
+        if len(self.cold) > REMEMBERED:
+            self.cold.clear()
+        if len(self.hot) > REMEMBERED_HOT:
+            self.hot.clear()
         split = [t.lower().split() for t in texts]
         cold, hot = self.cold, self.hot
         self.learn({w for ws in split for w in ws if w not in cold and len(w) > 1})
@@ -392,23 +395,16 @@ def _gram(landmarks: Landmarks) -> np.ndarray:
     return k.reshape(n, n)
 
 
-_workers: dict[tuple[str, ...], Featurizer] = {}
-
-
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id and score (0 to 1) of each row's whole text; null counts as
     empty, and empty texts get the score of a text without any similar word.
     doc_id may be null or repeat; other columns are ignored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = tuple(model.landmarks)
-        if key not in _workers:
-            _workers.clear()
-            _workers[key] = Featurizer(Landmarks(model.landmarks))
-        features = _workers[key]
+        key = (f"toxicity {model.landmarks}",)
+        features = kept_by_worker(key, lambda: Featurizer(Landmarks(model.landmarks)))
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for part in text_parts(batch, "text", 1 << 20):
                 values = model.scores(features.texts(part.column("text").to_pylist()))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(values, pa.float64())], names=["doc_id", "score"]

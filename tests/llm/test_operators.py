@@ -5,11 +5,13 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
 from rowtide.llm import (
@@ -336,3 +338,56 @@ def test_pipeline_runs_its_stages(spark):
         assert left.columns == columns
     ids = {r.doc_id for r in left.select("doc_id").collect()}
     assert {r.doc_id for r in corpus_pipeline.run(spark, sf_dir).collect()} == ids
+
+
+def test_unmatched_end_tags_take_linear_time():
+    soup = lambda n: "<table><tr><td>" + "<div>" * n + "x</p>" * n + "<p>y" * n
+    start = time.perf_counter()
+    text = html_text.render(soup(20_000))
+    assert text.count("x") == text.count("y") == 20_000
+    assert time.perf_counter() - start < 20
+
+
+def test_mask_secrets_with_clashing_columns(spark):
+    rows = spark.createDataFrame([(1, "password=abcdefghijkl", 1, 2, 3), (1, None, 1, 2, 3), (None, "", 1, 2, 3)],
+                                 "doc_id long, text string, _base int, _spans int, _tested int")
+    masked = secrets.mask_secrets(rows)
+    assert masked.columns == rows.columns
+    got = sorted((tuple(r) for r in masked.collect()), key=repr)
+    assert [r[2:] for r in got] == [(1, 2, 3)] * 3
+    assert sorted((r[1] for r in got), key=repr) == sorted([secrets.MASK, None, ""], key=repr)
+
+
+def test_byte_bpe_with_another_pattern(spark):
+    pattern = r"[a-z]+|[^a-z]"
+    own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=byte_bpe.read_ranks(RANKS), special_tokens={})
+    texts = ["the other  pattern's cut", "é ÀB 12\n\n x", ""]
+    got = byte_bpe.encode(table(spark, list(enumerate(texts))), RANKS, pattern, decoded=True).collect()
+    assert {r.doc_id: r.ids for r in got} == {i: own.encode_ordinary(t) for i, t in enumerate(texts)}
+    assert {r.doc_id: bytes(r.decoded).decode() for r in got} == dict(enumerate(texts))
+
+
+def test_packing_refuses_a_tokenizer_with_other_rules():
+    with pytest.raises(ValueError):
+        packing.Words(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_remembered_words_stay_within_the_budget(monkeypatch):
+    monkeypatch.setattr(toxicity, "REMEMBERED", 500)
+    monkeypatch.setattr(toxicity, "REMEMBERED_HOT", 300)
+    features = toxicity.Featurizer(toxicity.Landmarks(["blockhead"]))
+    words = ["blockhead" + "".join(random.Random(i).choices("abcdefg", k=3)) for i in range(5_000)] + prose(1, 5_000)
+    whole = toxicity.Featurizer(features.landmarks).texts([" ".join(words)])[0].max()
+    for at in range(0, len(words), 100):
+        features.texts([" ".join(words[at : at + 100])])
+        assert len(features.hot) <= 400 and len(features.cold) <= 700
+    assert 0 < whole <= 1
+
+
+def test_a_worker_keeps_what_one_operator_needs():
+    from rowtide.llm import common
+
+    a, b = (common.kept_by_worker(("one", n), list) for n in (1, 2))
+    assert common.kept_by_worker(("one", 1), list) is a and common.kept_by_worker(("one", 2), list) is b
+    common.kept_by_worker(("two",), list)
+    assert common.kept_by_worker(("one", 1), list) is not a
