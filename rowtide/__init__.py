@@ -16,6 +16,7 @@ from .operators.capture import (
     snapshot_changes,
     start_changes,
 )
+from .operators.completeness import offset_faults
 from .operators.routing import (
     Route,
     dim_rows,
@@ -24,8 +25,17 @@ from .operators.routing import (
     routed_rows,
     unrouted_rows,
 )
+from .operators.snapshot import (
+    KeyRange,
+    key_ranges,
+    reconciled,
+    snapshot_in_ranges,
+    snapshot_marks,
+    snapshot_rows,
+)
 from .operators.temporal import as_of, temporal_join, versioned
 from .operators.upsert import latest_per_key, merge_upsert, stamp_partition
+from .sinks.event_order import drop_tombstones, upsert_in_event_order
 from .sinks.messages import (
     console,
     kafka_sink_options,
@@ -34,9 +44,11 @@ from .sinks.messages import (
     with_partition_key,
 )
 from .sinks.tables import TableSpec, ensure_table, remove_old_versions, upsert_table
+from .sinks.version_table import VersionSpec, stored_versions, update_versions
 from .sources import changes_from_events, jdbc_options, kafka_source_options, read_changes, read_lines
 from .streaming.fan_out import fan_out
 from .streaming.options import JobOptions, rocksdb_state, use_rocksdb_state
+from .streaming.state_join import temporal_join_state
 from .streaming.temporal import temporal_join_stream
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -32,5 +32,15 @@ CHECKS: dict[str, str] = {
         SELECT id, name, modify_time, modify_time AS valid_from,
                lead(modify_time) OVER (PARTITION BY id ORDER BY modify_time) AS valid_to
         FROM dims""",
+    "log_completeness": """WITH kept AS (
+        SELECT event_id FROM events WHERE event_id * 7919 % 101 >= 9 AND event_id % 1000 NOT BETWEEN 400 AND 520),
+        log AS (SELECT event_id % 3 AS partition, event_id // 3 AS "offset" FROM (
+            SELECT * FROM kept UNION ALL SELECT * FROM kept WHERE event_id % 97 = 5)),
+        seen AS (SELECT partition, "offset", count(*) AS n,
+                        lag("offset") OVER (PARTITION BY partition ORDER BY "offset") AS before
+                 FROM log GROUP BY partition, "offset")
+        SELECT partition, 'missing' AS kind, before + 1 AS first, "offset" - 1 AS last, 0 AS copies
+        FROM seen WHERE "offset" - before > 1
+        UNION ALL SELECT partition, 'repeated', "offset", "offset", n FROM seen WHERE n > 1""",
     "snapshot_splits": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
 }

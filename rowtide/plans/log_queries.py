@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators.completeness import offset_faults
 from ..operators.snapshot import (
     KeyRange,
     key_ranges,
@@ -167,6 +168,17 @@ def versions_kept_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_versions(spark, spec)
 
 
+def log_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log in three partitions with holes in it and some messages twice."""
+    events = table(spark, sf_dir, "events")
+    event = F.col("event_id")
+    kept = events.where((event * 7919 % 101 >= 9) & ~((event % 1000).between(400, 520)))
+    log = kept.unionByName(kept.where(event % 97 == 5)).select(
+        (event % 3).alias("partition"), F.floor(event / 3).alias("offset")
+    )
+    return offset_faults(log, ["partition"], "offset", block=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -175,5 +187,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_state_join,
         late_changes_after_deletes,
         versions_kept_up,
+        log_completeness,
     )
 }
