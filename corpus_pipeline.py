@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from rowtide.llm import exact_dedup, near_dedup, queries, secrets, toxicity
 from rowtide.llm.common import saved
 
-#: No SQL: a fitted classifier and a tokenizer have none. Tested against brute force.
+#: No SQL: a fitted classifier and a tokenizer have none. The tests compare the
+#: stages with the operators they call, which have tests of their own.
 ORACLE_SQL = None
 
 
@@ -41,6 +42,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in order over ``documents``; each is written and read again.
+
+    Null texts count as empty and, like all rows, are copies of each other if
+    equal; empty texts are linked with nothing by the near-duplicate stage. Rows
+    that repeat wholly are exact copies, of which one stays. An empty table gives
+    no pieces.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir), name)
