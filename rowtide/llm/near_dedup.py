@@ -36,16 +36,26 @@ BRANCHES = 2
 SMALL, SMALL_SHINGLES = 4096, 4 << 20
 #: Candidates of a member beyond which its node counts as crowded.
 PARTNERS = 4
-#: Levels that branch; after them a large node loses its leader instead, level by level.
+#: Levels that branch by one series of tokens; further levels take fresh tokens from the full sets.
 LEVELS = TOKENS // BRANCHES
 #: Equal tokens that a candidate needs: pairs of similarity 0.75 have fewer with probability 1e-5.
 LEAST_EQUAL = 13
 #: Similarity of a link, in hundredths.
 PERCENT = 75
 
-_rng = np.random.Generator(np.random.PCG64(75))
-_FLIP = _rng.integers(0, 2**63, TOKENS, dtype=np.uint64)
-_TIMES = _rng.integers(0, 2**63, TOKENS, dtype=np.uint64) | np.uint64(1)
+
+def _hashes(series: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash functions of one series of tokens."""
+    rng = np.random.Generator(np.random.PCG64([PERCENT, series]))
+    flip = rng.integers(0, 2**63, TOKENS, dtype=np.uint64)
+    return flip, rng.integers(0, 2**63, TOKENS, dtype=np.uint64) | np.uint64(1)
+
+
+def _minwise(values: np.ndarray, at: np.ndarray, series: int) -> np.ndarray:
+    """The minwise tokens of sets that begin at ``at``; none of them is empty."""
+    flip, times = _hashes(series)
+    tokens = [np.minimum.reduceat((values ^ f) * t, at).astype(np.int64) for f, t in zip(flip, times)]
+    return np.stack(tokens, 1)
 
 
 def _signed(texts: list[bytes]) -> tuple[list[int], list[bytes | None], np.ndarray]:
@@ -59,8 +69,7 @@ def _signed(texts: list[bytes]) -> tuple[list[int], list[bytes | None], np.ndarr
         values = np.concatenate(full)
         at = np.concatenate([[0], np.cumsum([len(s) for s in full])])[:-1]
         rows = np.flatnonzero(sizes)
-        for i in range(TOKENS):
-            tokens[rows, i] = np.minimum.reduceat((values ^ _FLIP[i]) * _TIMES[i], at).astype(np.int64)
+        tokens[rows] = _minwise(values, at, 0)
         sums = [np.add.reduceat(mixed(values ^ np.uint64(k)), at) for k in (1, 2)]
         for row, a, b in zip(rows, *sums):
             digests[row] = a.tobytes() + b.tobytes()
@@ -116,6 +125,25 @@ def full_sets(docs: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "rep long, items array<long>")
 
 
+def _fresh_tokens(sets: DataFrame, series: int) -> DataFrame:
+    """rep and the tokens of a further series, from the full sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("items")
+            bounds = lists.offsets.to_numpy()
+            for part in slices((8 * np.diff(bounds)).tolist()):
+                start, stop = bounds[part.start], bounds[part.stop]
+                values = lists.values[start:stop].to_numpy().view(np.uint64)
+                tokens = _minwise(values, bounds[part.start : part.stop] - start, series)
+                at = pa.array(np.arange(0, len(tokens) + 1, dtype=np.int32) * TOKENS)
+                reps = batch.column("rep")[part.start : part.stop]
+                lists_of_tokens = pa.ListArray.from_arrays(at, pa.array(tokens.ravel(), pa.int64()))
+                yield pa.RecordBatch.from_arrays([reps, lists_of_tokens], names=["rep", "tokens"])
+
+    return sets.select("rep", "items").mapInArrow(run, "rep long, tokens array<long>")
+
+
 def _alike(sketch: np.ndarray, others: np.ndarray) -> np.ndarray:
     """Which pairs of sketches may be similar enough."""
     n, m = (x[..., :4].copy().view(np.uint32)[..., 0].astype(np.int64) for x in (sketch, others))
@@ -211,32 +239,46 @@ def _leader_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
-def _nodes(members: DataFrame, name: str) -> DataFrame:
+def _nodes(members: DataFrame, classes: DataFrame, name: str) -> DataFrame:
     """Members (node, root, rep, n, sketch) of nodes with at least two, with
-    each node's leader, and whether it is small."""
+    each node's leader, and whether it is small. Most nodes have one member, so
+    sketches join what is left. The joins are merged at every size: their sides
+    grow with the classes."""
     small = (F.count(F.lit(1)) <= SMALL) & (F.sum("n") <= SMALL_SHINGLES)
     sizes = (
         members.groupBy("node")
-        .agg(F.count(F.lit(1)).alias("size"), small.alias("small"), F.min(F.struct("rep", "sketch")).alias("first"))
+        .agg(F.count(F.lit(1)).alias("size"), small.alias("small"), F.min("rep").alias("leader"))
         .where("size > 1")
-        .select("node", "small", F.col("first.rep").alias("leader"), F.col("first.sketch").alias("leader_sketch"))
+        .select("node", "small", "leader")
     )
-    return saved(members.join(sizes, "node"), name)
+    if "root" not in members.columns:
+        members = members.withColumn("root", F.col("node"))
+    sketches = classes.select("rep", "sketch").hint("merge")
+    return saved(members.join(sizes.hint("merge"), "node").join(sketches, "rep"), name)
 
 
-def _candidates(nodes: DataFrame) -> DataFrame:
+def _candidates(nodes: DataFrame, classes: DataFrame) -> DataFrame:
     small = (
         nodes.where("small")
         .groupBy("node")
         .agg(F.collect_list(F.struct("rep", "sketch")).alias("members"))
         .mapInArrow(_small_pairs, "a long, b long, more long")
     )
-    return small.unionByName(_to_leaders(nodes)).distinct()
+    return small.unionByName(_to_leaders(nodes, classes)).distinct()
 
 
-def _to_leaders(nodes: DataFrame) -> DataFrame:
+def _to_leaders(nodes: DataFrame, classes: DataFrame) -> DataFrame:
+    large = nodes.where("NOT small")
+    # One row per large node.
+    leaders = (
+        large.where("rep = leader")
+        .select("node", "leader")
+        .join(classes.select(F.col("rep").alias("leader"), F.col("sketch").alias("leader_sketch")), "leader")
+    )
     return (
-        nodes.where("NOT small AND rep <> leader")
+        large.where("rep <> leader")
+        .select("node", "rep", "sketch")
+        .join(leaders, "node")
         .select("rep", "sketch", "leader", "leader_sketch")
         .mapInArrow(_leader_pairs, "a long, b long, more long")
     )
@@ -255,33 +297,36 @@ def _compared(nodes: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
+    """The pairs whose full sets are similar enough. Each pair takes the set of
+    its greater member first: where many have the same leader, their sets are
+    what the second join splits."""
     one = sets.select(F.col("rep").alias("a"), F.col("items").alias("items_a"))
     two = sets.select(F.col("rep").alias("b"), F.col("items").alias("items_b"))
     both = F.size(F.array_intersect("items_a", "items_b"))
     union = F.size("items_a") + F.size("items_b") - both
-    return pairs.join(one, "a").join(two, "b").where(100 * both >= PERCENT * union).select("a", "b")
+    both_sets = pairs.join(two.hint("merge"), "b").join(one.hint("merge"), "a")
+    return both_sets.where(100 * both >= PERCENT * union).select("a", "b")
 
 
-def _children(large: DataFrame, classes: DataFrame, level: int) -> DataFrame:
-    """The next level's members of large nodes: branches by unused tokens, at
-    last the node without its leader."""
-    if level > LEVELS:
-        return large.where("rep <> leader").select(
-            F.xxhash64("node", F.lit(level)).alias("node"), "root", "rep", "n", "sketch"
-        )
+def _children(large: DataFrame, classes: DataFrame, sets: DataFrame, level: int) -> DataFrame:
+    """The next level's members of large nodes: branches by tokens that their
+    tree has not used, of a fresh series whenever one is used up."""
+    series, level = divmod(level - 1, LEVELS)
     step = F.pmod(F.shiftright("root", 8), F.lit(TOKENS // 2)) * 2 + 1
-    second = F.pmod(F.shiftright("root", 16) + level, F.lit(3)) == 0
-    first = (level - 1) * BRANCHES
+    second = F.pmod(F.shiftright("root", 16) + level + 1, F.lit(3)) == 0
+    first = level * BRANCHES
     places = F.when(second, F.array(F.lit(first), F.lit(first + 1))).otherwise(F.array(F.lit(first)))
+    large = large.select("node", "root", "rep", "n")
+    if series:
+        members = large.select("rep").distinct()
+        tokens = saved(_fresh_tokens(sets.join(members, "rep", "left_semi"), series), "tokens")
+    else:
+        tokens = classes.select("rep", "tokens")
     return (
-        large.select("node", "root", "rep", "n", "sketch")
-        .join(classes.select("rep", "sketch", "tokens"), ["rep", "sketch"])
+        large.join(tokens, "rep")
         .withColumn("nr", F.explode(places))
         .withColumn("place", F.pmod(F.col("root") + F.col("nr") * step, F.lit(TOKENS)).cast("int"))
-        .select(
-            F.xxhash64("node", "place", F.get("tokens", F.col("place"))).alias("node"), "root", "rep", "n", "sketch"
-        )
+        .select(F.xxhash64("node", "place", F.get("tokens", F.col("place"))).alias("node"), "root", "rep", "n")
     )
 
 
@@ -313,10 +358,10 @@ def linked_classes(docs: DataFrame, signed: DataFrame) -> DataFrame:
         "classes",
     )
     trees = F.posexplode(F.slice("tokens", 1, TREES)).alias("tree", "token")
-    roots = classes.select("rep", "n", "sketch", trees)
-    roots = roots.select(F.xxhash64("tree", "token").alias("node"), "rep", "n", "sketch")
-    nodes = _nodes(roots.withColumn("root", F.col("node")), "nodes")
-    found = saved(_candidates(nodes), "candidates")
+    roots = classes.select("rep", "n", trees)
+    roots = roots.select(F.xxhash64("tree", "token").alias("node"), "rep", "n")
+    nodes = _nodes(roots, classes, "nodes")
+    found = saved(_candidates(nodes, classes), "candidates")
     pairs = found.where("more IS NULL").select("a", "b")
     crowded = found.where("more IS NOT NULL").select(F.col("more").alias("node"))
     # Nodes that may have links beyond these candidates.
@@ -324,7 +369,7 @@ def linked_classes(docs: DataFrame, signed: DataFrame) -> DataFrame:
     needed = [pairs.select(F.col(c).alias("doc_id")) for c in ("a", "b")]
     needed = needed[0].unionByName(needed[1]).unionByName(open_nodes.select(F.col("rep").alias("doc_id")))
     needed = saved(needed.distinct(), "needed")
-    sets = saved(full_sets(docs.select("doc_id", "text").join(needed, "doc_id", "left_semi")), "sets")
+    sets = saved(full_sets(docs.select("doc_id", "text").join(needed.hint("merge"), "doc_id", "left_semi")), "sets")
     labels = _labels(saved(_confirmed(pairs, sets), "links"))
     level = 0
     while True:
@@ -337,8 +382,8 @@ def linked_classes(docs: DataFrame, signed: DataFrame) -> DataFrame:
             open_nodes = large  # all links are known
         else:
             level += 1
-            open_nodes = _nodes(_children(large, classes, level), "nodes")
-            pairs = _to_leaders(open_nodes).select("a", "b").distinct()
+            open_nodes = _nodes(_children(large, classes, sets, level), classes, "nodes")
+            pairs = _to_leaders(open_nodes, classes).select("a", "b").distinct()
             new = new.unionByName(saved(_confirmed(pairs, sets), "links"))
         if not new.isEmpty():
             labels = _labels(labels.select(F.col("rep").alias("a"), F.col("component").alias("b")).unionByName(new))

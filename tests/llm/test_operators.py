@@ -92,6 +92,22 @@ def test_near_dedup_equals_brute_force(spark, monkeypatch, small):
     assert all(r.kept == (i == r.component_id) for i, r in got.items())
 
 
+def test_near_dedup_levels_follow_the_logarithm_of_a_node(spark, monkeypatch):
+    """Documents that are all 0.70 alike and not linked: fresh tokens split them."""
+    monkeypatch.setattr(near_dedup, "SMALL", 8)
+    monkeypatch.setattr(near_dedup, "LEVELS", 2)
+    levels, children = [], near_dedup._children
+    monkeypatch.setattr(near_dedup, "_children", lambda *a: levels.append(a[-1]) or children(*a))
+    core = prose(3, 70)
+    rows = [(i, " ".join(core + prose(500 + i, 14))) for i in range(40)]
+    sets, label = components_by_brute_force(rows)
+    one, two = sets[0], sets[1]
+    assert 0.6 < len(one & two) / len(one | two) < 0.75 and len(set(label.values())) == 40
+    got = near_dedup.near_duplicates(table(spark, rows)).collect()
+    assert len(got) == 40 and all(r.kept for r in got)
+    assert 2 < len(levels) <= 20  # 32 before, one per document beyond the limit
+
+
 def test_near_dedup_edges(spark):
     rows = near_dedup.near_duplicates(table(spark, EDGES)).collect()
     assert len(rows) == len(EDGES) and all(r.kept for r in rows)
