@@ -17,7 +17,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import saved, whole_text
@@ -28,6 +28,8 @@ LINK_WORDS = 5
 BLOCK_WORDS = 10
 #: A line that at most so many documents hold is rare.
 RARE = 16
+#: Parts into which the holders of a line or run, and the partners of a document, are divided.
+SALTS = 64
 #: Modulus and base of the hashes of runs.
 PRIME, BASE = 2**61 - 1, 1_000_003_000_007
 
@@ -149,6 +151,24 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _with_firsts(held: DataFrame, key: str) -> DataFrame:
+    """The rows (doc_id, key) whose key several documents hold, with the number
+    ``n`` of holders and the smallest, ``first``.
+
+    Holders are counted in parts of a key, so one that a third of all documents
+    hold is no task's alone: each part is told the whole key's figures.
+    """
+    held = held.withColumn("salt", _salt("doc_id"))
+    parts = held.groupBy(key, "salt").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))
+    totals = parts.groupBy(key).agg(F.sum("n").alias("n"), F.min("first").alias("first")).where("n > 1")
+    known = parts.select(key, "salt").join(totals.hint("merge"), key)
+    return held.join(known.hint("merge"), [key, "salt"]).drop("salt")
+
+
+def _salt(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int")
+
+
 def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id and ``gone``, the sorted line numbers (from 0) to delete."""
     lines = F.split(whole_text(), "\n")
@@ -161,20 +181,23 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     long_lines = F.filter(F.arrays_zip("lines", "words"), lambda x: x["words"] >= LINK_WORDS)
     long_lines = F.array_distinct(F.transform(long_lines, lambda x: x["lines"]))
     holders = saved(hashed.select("doc_id", F.explode(long_lines).alias("line")), "holders")
-    counts = holders.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first")).where("n > 1")
-    shared = saved(holders.join(counts, "line"), "shared")
+    shared = saved(_with_firsts(holders, "line"), "shared")
     to_first = shared.where("doc_id <> first").select(F.col("doc_id").alias("later"), F.col("first").alias("earlier"))
     before = F.lag("doc_id").over(Window.partitionBy("line").orderBy("doc_id"))
     to_last = shared.where(F.col("n") <= RARE).select(F.col("doc_id").alias("later"), before.alias("earlier"))
     # Runs of one line are among the lines above.
     short = hashed.where(F.exists("words", lambda x: x.between(1, BLOCK_WORDS - 1))).select("doc_id", "lines", "words")
     held = saved(short.mapInArrow(_run_holders, "doc_id long, run long"), "runs")
-    firsts = held.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("earlier")).where("n > 1")
-    by_runs = held.join(firsts, "run").where("doc_id <> earlier").select(F.col("doc_id").alias("later"), "earlier")
+    by_runs = _with_firsts(held, "run").where("doc_id <> first")
+    by_runs = by_runs.select(F.col("doc_id").alias("later"), F.col("first").alias("earlier"))
     pairs = to_first.unionByName(to_last.where("earlier IS NOT NULL")).unionByName(by_runs).distinct()
     later = hashed.withColumnRenamed("doc_id", "later")
+    # The first holder of a common line has many partners: each part of them gets its own copy of its lines.
+    pairs = saved(pairs.withColumn("salt", _salt("later")), "pairs")
     earlier = hashed.select(F.col("doc_id").alias("earlier"), F.col("lines").alias("other"))
-    both = pairs.join(earlier, "earlier").select("later", "other").join(later, "later")
+    earlier = pairs.select("earlier", "salt").distinct().join(earlier.hint("merge"), "earlier")
+    both = pairs.join(earlier.hint("merge"), ["earlier", "salt"]).select("later", "other")
+    both = both.join(later.hint("merge"), "later")
     gone = both.mapInArrow(_removed, "doc_id long, gone array<int>")
     gone = gone.select("doc_id", F.explode("gone").alias("line")).groupBy("doc_id")
     return gone.agg(F.array_sort(F.collect_set("line")).alias("gone"))
@@ -194,7 +217,8 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     lines = F.split("text", "\n")
     places = F.coalesce("gone", F.array().cast("array<int>"))
     kept = F.filter(lines, lambda _, i: ~F.array_contains(F.col("gone"), i))
-    return text.join(gone, "doc_id", "left").select(
+    # Merged at every size: the lines that go grow with the texts.
+    return text.join(gone.hint("merge"), "doc_id", "left").select(
         "doc_id",
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
         F.size(lines).cast("long").alias("n_lines"),
