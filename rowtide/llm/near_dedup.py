@@ -288,7 +288,7 @@ def _compared(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """Links of small nodes (node, rep, label), from their full sets."""
     return (
         nodes.select("node", "rep", "label")
-        .join(sets, "rep")
+        .join(sets.hint("merge"), "rep")
         .groupBy("node")
         .agg(F.collect_list(F.struct("rep", "label", "items")).alias("members"))
         .select("members")
