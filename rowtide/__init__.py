@@ -17,6 +17,12 @@ from .operators.capture import (
     start_changes,
 )
 from .operators.completeness import offset_faults
+from .operators.digest_diff import (
+    diff_in_ranges,
+    differing_ranges,
+    range_digests,
+    row_count_changes,
+)
 from .operators.routing import (
     Route,
     dim_rows,
@@ -43,6 +49,7 @@ from .sinks.messages import (
     with_parallelism,
     with_partition_key,
 )
+from .sinks.shards import request_batches, shard_places, with_shard
 from .sinks.tables import TableSpec, ensure_table, remove_old_versions, upsert_table
 from .sinks.version_table import VersionSpec, stored_versions, update_versions
 from .sources import changes_from_events, jdbc_options, kafka_source_options, read_changes, read_lines

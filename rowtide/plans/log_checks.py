@@ -42,5 +42,24 @@ CHECKS: dict[str, str] = {
         SELECT partition, 'missing' AS kind, before + 1 AS first, "offset" - 1 AS last, 0 AS copies
         FROM seen WHERE "offset" - before > 1
         UNION ALL SELECT partition, 'repeated', "offset", "offset", n FROM seen WHERE n > 1""",
+    "diff_orders_by_range": """WITH later AS (
+        SELECT o_orderkey, CASE WHEN o_orderkey % 1024 < 32 AND o_orderkey % 7 = 0 THEN o_totalprice + 1
+                                ELSE o_totalprice END AS o_totalprice
+        FROM orders WHERE NOT (o_orderkey % 1024 < 32 AND o_orderkey % 5 = 0)
+        UNION ALL SELECT -o_orderkey - 1, o_totalprice FROM orders WHERE o_orderkey % 1024 < 4)
+        SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey,
+               CASE WHEN b.o_orderkey IS NULL THEN 'c' WHEN a.o_orderkey IS NULL THEN 'd' ELSE 'u' END AS op,
+               b.o_totalprice AS old_price, a.o_totalprice AS new_price
+        FROM orders b FULL JOIN later a ON a.o_orderkey = b.o_orderkey
+        WHERE a.o_totalprice IS DISTINCT FROM b.o_totalprice""",
+    "lineitem_count_changes": """SELECT l_orderkey, l_returnflag, l_quantity, CAST(sum(n) AS BIGINT) AS copies FROM (
+        SELECT l_orderkey, l_returnflag, l_quantity, -1 AS n FROM lineitem WHERE l_partkey % 13 = 0
+        UNION ALL SELECT l_orderkey, l_returnflag, l_quantity, 1 FROM lineitem WHERE l_suppkey % 17 = 0)
+        GROUP BY ALL HAVING sum(n) <> 0""",
+    "keys_on_shards": """SELECT CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS key, count(*) AS messages,
+               CAST(sum(strlen(props)) AS BIGINT) AS bytes, CAST(1 AS BIGINT) AS shards
+        FROM events GROUP BY 1""",
+    "request_limits": """SELECT count(*) AS messages, CAST(sum(strlen(props)) AS BIGINT) AS bytes,
+               CAST(0 AS BIGINT) AS requests_over_limit, CAST(0 AS BIGINT) AS shards_over_bound FROM events""",
     "snapshot_splits": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
 }

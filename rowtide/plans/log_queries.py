@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.completeness import offset_faults
+from ..operators.digest_diff import diff_in_ranges, row_count_changes
 from ..operators.snapshot import (
     KeyRange,
     key_ranges,
@@ -22,6 +23,7 @@ from ..operators.snapshot import (
 )
 from ..operators.upsert import latest_per_key, merge_upsert
 from ..sinks.event_order import buried, upsert_in_event_order
+from ..sinks.shards import request_batches, shard_places, with_shard
 from ..sinks.tables import TableSpec, ensure_table
 from ..sinks.version_table import VersionSpec, stored_versions, update_versions
 from ..sources.events_log import TIME_PATTERN
@@ -179,6 +181,93 @@ def log_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offset_faults(log, ["partition"], "offset", block=50)
 
 
+def diff_orders_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Differences of two stored versions of ``orders``; few key ranges changed."""
+    old = table(spark, sf_dir, "orders")
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    near = F.pmod(key, F.lit(1024)) < 32
+    later = old.where(~(near & (key % 5 == 0))).withColumn(
+        "o_totalprice", F.when(near & (key % 7 == 0), price + 1).otherwise(price)
+    )
+    later = later.unionByName(old.where(key % 1024 < 4).withColumn("o_orderkey", -key - 1))
+    folder = new_folder(spark, "later")
+    later.write.parquet(folder)
+    new = spark.read.schema(old.schema).parquet(folder)
+    return diff_in_ranges(old, new, ["o_orderkey"], bits=(10, 4)).select(
+        "o_orderkey",
+        "op",
+        F.col("before.o_totalprice").alias("old_price"),
+        F.col("after.o_totalprice").alias("new_price"),
+    )
+
+
+def lineitem_count_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a key that a later version holds more or fewer times."""
+    items = table(spark, sf_dir, "lineitem")
+    rows = lambda df: df.select("l_orderkey", "l_returnflag", "l_quantity")
+    later = rows(items.where(F.col("l_partkey") % 13 != 0)).unionAll(rows(items.where(F.col("l_suppkey") % 17 == 0)))
+    return row_count_changes(rows(items), later)
+
+
+SHARDS = range(5)
+REQUEST_RECORDS, REQUEST_BYTES = 50, 600
+
+
+def _skewed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as messages of their user; a third of them have one key."""
+    event = F.col("event_id")
+    return table(spark, sf_dir, "events").select(
+        F.when(event % 3 == 0, F.lit(0)).otherwise(F.col("user_id")).alias("key"),
+        "event_id",
+        F.octet_length("props").cast("long").alias("size"),
+    )
+
+
+def keys_on_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages, bytes and shards of each key: one shard, however skewed."""
+    messages = _skewed_messages(spark, sf_dir)
+    places = shard_places(messages, F.col("key"), F.col("size"), SHARDS)
+    return (
+        with_shard(messages, F.col("key"), places)
+        .groupBy("key")
+        .agg(
+            F.count(F.lit(1)).alias("messages"),
+            F.sum("size").alias("bytes"),
+            F.count_distinct("shard").alias("shards"),
+        )
+    )
+
+
+def request_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages and bytes of all requests, and how many requests or shards
+    break their bounds."""
+    messages = _skewed_messages(spark, sf_dir)
+    key, size = F.col("key"), F.col("size")
+    places = shard_places(messages, key, size, SHARDS)
+    requests = (
+        request_batches(
+            with_shard(messages, key, places), key, size, ["event_id"],
+            max_records=REQUEST_RECORDS, max_bytes=REQUEST_BYTES,
+        )
+        .groupBy("shard", "lane", "batch")
+        .agg(F.count(F.lit(1)).alias("records"), F.sum("size").alias("bytes"))
+        .groupBy("shard")
+        .agg(
+            F.sum("records").alias("messages"),
+            F.sum("bytes").alias("bytes"),
+            F.count_if((F.col("records") > REQUEST_RECORDS) | (F.col("bytes") > REQUEST_BYTES)).alias("over_limit"),
+        )
+    )
+    mean, heaviest = places.agg(F.sum("bytes") / len(SHARDS), F.max("bytes")).first()
+    bound = max(1.1 * mean, mean + heaviest)
+    return requests.agg(
+        F.sum("messages").alias("messages"),
+        F.sum("bytes").alias("bytes"),
+        F.sum("over_limit").alias("requests_over_limit"),
+        F.count_if(F.col("bytes") > bound).alias("shards_over_bound"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -188,5 +277,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         late_changes_after_deletes,
         versions_kept_up,
         log_completeness,
+        diff_orders_by_range,
+        lineitem_count_changes,
+        keys_on_shards,
+        request_limits,
     )
 }
