@@ -23,6 +23,7 @@ from .operators.digest_diff import (
     range_digests,
     row_count_changes,
 )
+from .operators.drift import field_drift
 from .operators.routing import (
     Route,
     dim_rows,
@@ -54,6 +55,7 @@ from .sinks.tables import TableSpec, ensure_table, remove_old_versions, upsert_t
 from .sinks.version_table import VersionSpec, stored_versions, update_versions
 from .sources import changes_from_events, jdbc_options, kafka_source_options, read_changes, read_lines
 from .streaming.fan_out import fan_out
+from .streaming.once import batch_folder, finished_batches, first_of_each, once_per_batch, written_once
 from .streaming.options import JobOptions, rocksdb_state, use_rocksdb_state
 from .streaming.state_join import temporal_join_state
 from .streaming.temporal import temporal_join_stream

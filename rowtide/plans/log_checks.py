@@ -61,5 +61,18 @@ CHECKS: dict[str, str] = {
         FROM events GROUP BY 1""",
     "request_limits": """SELECT count(*) AS messages, CAST(sum(strlen(props)) AS BIGINT) AS bytes,
                CAST(0 AS BIGINT) AS requests_over_limit, CAST(0 AS BIGINT) AS shards_over_bound FROM events""",
+    "stream_once": """SELECT event_id AS seq, event_id % 3 AS partition, event_id // 3 AS "offset",
+        event_type AS name FROM events""",
+    "fields_over_time": """WITH log AS (
+        SELECT user_id % 3 AS tb, event_id AS seq, event_id > (SELECT max(event_id) // 2 FROM events) AS late
+        FROM events WHERE event_id % 50 <> 7),
+        fields AS (SELECT tb, seq, 'id' AS field, 'BIGINT' AS type FROM log
+                   UNION ALL SELECT tb, seq, 'v', 'VARIANT' FROM log
+                   UNION ALL SELECT tb, seq, 'old', 'BOOLEAN' FROM log WHERE NOT late
+                   UNION ALL SELECT tb, seq, 'note', 'STRING' FROM log WHERE late)
+        SELECT tb, field, type, min(seq) AS first, max(seq) AS last, count(*) AS rows,
+               min(seq) > (SELECT min(seq) FROM log l WHERE l.tb = fields.tb) AS added,
+               max(seq) < (SELECT max(seq) FROM log l WHERE l.tb = fields.tb) AS gone
+        FROM fields GROUP BY tb, field, type""",
     "snapshot_splits": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
 }

@@ -9,10 +9,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.completeness import offset_faults
 from ..operators.digest_diff import diff_in_ranges, row_count_changes
+from ..operators.drift import field_drift
 from ..operators.snapshot import (
     KeyRange,
     key_ranges,
@@ -28,6 +30,7 @@ from ..sinks.tables import TableSpec, ensure_table
 from ..sinks.version_table import VersionSpec, stored_versions, update_versions
 from ..sources.events_log import TIME_PATTERN
 from ..storage import new_folder
+from ..streaming.once import batch_folder, first_of_each, once_per_batch, written_once
 from ..streaming.options import rocksdb_state
 from ..streaming.state_join import temporal_join_state
 from .queries import _dims, _facts, _in_slices, table
@@ -268,6 +271,76 @@ def request_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+MESSAGE_SCHEMA = "seq BIGINT, partition BIGINT, offset BIGINT, name STRING, time TIMESTAMP"
+
+
+def stream_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log with repeats in and across batches, read by a stream that restarts
+    and once fails after it wrote a batch: every message takes effect once."""
+    folder = new_folder(spark, "once")
+    event = F.col("event_id")
+    messages = table(spark, sf_dir, "events").select(
+        event.alias("seq"),
+        (event % 3).alias("partition"),
+        F.floor(event / 3).alias("offset"),
+        F.col("event_type").alias("name"),
+        F.timestamp_seconds(event + 86400).alias("time"),  # a stream drops times at or before its first watermark, 0
+    )
+    last = messages.agg(F.max("seq")).first()[0]
+    failed = []
+    store = batch_folder(f"{folder}/out")
+
+    def write(batch: DataFrame, number: int) -> None:
+        store(batch, number)
+        if number == 1 and not failed:
+            failed.append(number)
+            raise RuntimeError("lost after the write")
+
+    before = messages.limit(0)
+    for part in _in_slices(messages, last, 3):
+        repeats = part.unionByName(before).where(F.col("seq") % 97 == 5)
+        part.unionByName(repeats).write.mode("append").parquet(f"{folder}/log")
+        before = part
+        for _ in range(2):  # started again after a failure
+            log = spark.readStream.schema(MESSAGE_SCHEMA).parquet(f"{folder}/log")
+            query = (
+                first_of_each(log, ["partition", "offset"], "time", f"{last // 3 + 2} seconds")
+                .writeStream.foreachBatch(once_per_batch(folder, "out", write))
+                .option("checkpointLocation", f"{folder}/checkpoint")
+                .trigger(availableNow=True)
+                .start()
+            )
+            try:
+                query.awaitTermination()
+                break
+            except StreamingQueryException:
+                if failed != [1]:
+                    raise
+                failed.append("restarted")
+    rows = written_once(spark, folder, "out", f"{folder}/out", MESSAGE_SCHEMA)
+    return rows.select("seq", "partition", "offset", "name")
+
+
+def fields_over_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of a log whose rows gain one field, lose one and change a type."""
+    events = table(spark, sf_dir, "events")
+    half = events.agg(F.floor(F.max("event_id") / 2)).first()[0]
+    event, late = F.col("event_id"), F.col("event_id") > half
+    row = F.to_json(
+        F.struct(
+            event.alias("id"),
+            F.when(~late, event % 2 == 0).alias("old"),
+            F.when(late, F.col("event_type")).alias("note"),
+        )
+    )
+    # The value of v is a number, later a word.
+    value = F.when(late, F.concat(F.lit('"v'), event % 5, F.lit('"'))).otherwise((event % 5).cast("string"))
+    text = F.concat(F.substr(row, F.lit(1), F.length(row) - 1), F.lit(',"v":'), value, F.lit("}"))
+    text = F.when(event % 50 == 7, F.lit("{broken")).otherwise(text)
+    log = events.select((F.col("user_id") % 3).alias("tb"), event.alias("seq"), text.alias("text"))
+    return field_drift(log, ["tb"], "text", "seq")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -281,5 +354,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         lineitem_count_changes,
         keys_on_shards,
         request_limits,
+        stream_once,
+        fields_over_time,
     )
 }
