@@ -43,6 +43,7 @@ from .operators.snapshot import (
 from .operators.temporal import as_of, temporal_join, versioned
 from .operators.upsert import latest_per_key, merge_upsert, stamp_partition
 from .sinks.event_order import drop_tombstones, upsert_in_event_order
+from .sinks.key_places import locate_keys, upsert_by_place
 from .sinks.messages import (
     console,
     kafka_sink_options,

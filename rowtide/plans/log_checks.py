@@ -74,5 +74,8 @@ CHECKS: dict[str, str] = {
                min(seq) > (SELECT min(seq) FROM log l WHERE l.tb = fields.tb) AS added,
                max(seq) < (SELECT max(seq) FROM log l WHERE l.tb = fields.tb) AS gone
         FROM fields GROUP BY tb, field, type""",
+    "moved_keys": """SELECT CAST(user_id AS VARCHAR) AS id, event_type AS name,
+               lpad(CAST(event_id AS VARCHAR), 18, '0') AS place_in_log, CAST(event_id % 7 AS VARCHAR) AS part
+        FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""",
     "snapshot_splits": "SELECT c_custkey, c_name, c_mktsegment FROM customer",
 }

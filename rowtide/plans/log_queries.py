@@ -25,6 +25,7 @@ from ..operators.snapshot import (
 )
 from ..operators.upsert import latest_per_key, merge_upsert
 from ..sinks.event_order import buried, upsert_in_event_order
+from ..sinks.key_places import upsert_by_place
 from ..sinks.shards import request_batches, shard_places, with_shard
 from ..sinks.tables import TableSpec, ensure_table
 from ..sinks.version_table import VersionSpec, stored_versions, update_versions
@@ -341,6 +342,27 @@ def fields_over_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return field_drift(log, ["tb"], "text", "seq")
 
 
+def moved_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that move between partitions, upserted in three batches out of order
+    with the help of a table of places."""
+    folder = new_folder(spark, "places")
+    rows = table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("id"),
+        F.col("event_type").alias("name"),
+        F.lpad(F.col("event_id").cast("string"), 18, "0").alias("place_in_log"),
+        (F.col("event_id") % 7).cast("string").alias("part"),
+        "event_id",
+    )
+    spec = TableSpec(
+        f"moved_{uuid.uuid4().hex[:12]}", f"{folder}/table", ("id", "name", "place_in_log"), "place_in_log",
+        partition_by=("part",), rule="greatest",
+    )
+    ensure_table(spark, spec)
+    for turn in (2, 0, 1):
+        upsert_by_place(spec, rows.where(F.col("event_id") * 7 % 11 % 3 == turn).drop("event_id"), buckets=4)
+    return spark.table(spec.name)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -356,5 +378,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         request_limits,
         stream_once,
         fields_over_time,
+        moved_keys,
     )
 }

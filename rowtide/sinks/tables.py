@@ -76,7 +76,8 @@ def upsert_table(
     batch: DataFrame,
     order: Sequence[str] = (),
     deleted: str | None = None,
-) -> None:
+    holding: DataFrame | None = None,
+) -> list[Row]:
     """Merge stamped rows into the table by copy-on-write of whole partitions.
 
     The partitions that hold a key of the batch or receive one are rewritten
@@ -89,7 +90,9 @@ def upsert_table(
     a repeated batch mends both.
 
     Rows without a key are left out; see ``has_key``. A null or empty
-    partition value becomes the text ``none``.
+    partition value becomes the text ``none``. ``holding`` gives the partitions
+    that hold the batch's keys, where they are known without a read of the
+    table. Returns the partitions that were rewritten.
     """
     spark = batch.sparkSession
     parts = spec.partition_columns
@@ -100,9 +103,9 @@ def upsert_table(
         rows = rows.withColumn(BUCKET, bucket_of(spec))
     changes = latest_per_key(rows, spec.merge_keys, [spec.precombine, *order]).persist()
     try:
-        touched = _touched_partitions(spark.table(spec.name), spec, changes, deleted)
+        touched = _touched_partitions(spark.table(spec.name), spec, changes, deleted, holding)
         if not touched:
-            return
+            return touched
         current = spark.table(spec.name).where(_in_partitions(touched, parts))
         merged = merge_upsert(
             current,
@@ -123,6 +126,7 @@ def upsert_table(
             .parquet(folder)
         )
         _publish(spark, spec, folder, touched)
+        return touched
     finally:
         changes.unpersist()
 
@@ -154,7 +158,7 @@ def bucket_of(spec: TableSpec) -> Column:
 
 
 def _touched_partitions(
-    table: DataFrame, spec: TableSpec, changes: DataFrame, deleted: str | None
+    table: DataFrame, spec: TableSpec, changes: DataFrame, deleted: str | None, holding: DataFrame | None
 ) -> list[Row]:
     """Partition values to rewrite and whether rows arrive there: metadata, at
     most one row per partition."""
@@ -164,7 +168,9 @@ def _touched_partitions(
     else:
         arriving = changes
     touched = arriving.select(*parts, F.lit(True).alias(GAINS))
-    if spec.key_scope == "table":
+    if holding is not None:
+        touched = touched.unionByName(holding.select(*parts, F.lit(False).alias(GAINS)))
+    elif spec.key_scope == "table":
         stored = table.select(*spec.keys, *parts)
         if spec.buckets:
             used = [r[0] for r in changes.select(BUCKET).distinct().collect()]
