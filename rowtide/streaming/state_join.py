@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.temporal import joined_names
+from .temporal import BUCKETS
 
 #: Facts of one key and batch held in memory; more wait in the state store.
 HELD_FACTS = 50_000
@@ -22,53 +23,65 @@ def _renamed(df: DataFrame, prefix: str) -> T.StructType:
 
 
 class NewestDimension(StatefulProcessor):
-    """Keeps the newest dimension row of a key and joins facts to it.
+    """Keeps the newest dimension row of each key of a group and joins facts to them.
 
     Facts are matched after all rows of the batch are read, so that their order
-    within the group does not matter. Only the batch's dimension rows of the key
-    are held for that; facts beyond ``held`` wait in a list state, on disk.
+    within the group does not matter. Only the batch's dimension rows of the group
+    are held for that; facts beyond ``held`` wait in a list state, on disk. The
+    state is read and written once per group, as each call costs about as much
+    as many rows.
     """
 
     def __init__(
-        self, orders: int, facts: T.StructType, dims: T.StructType, left: bool, ttl_ms: int | None, held: int
+        self,
+        orders: int,
+        key: T.DataType,
+        facts: T.StructType,
+        dims: T.StructType,
+        left: bool,
+        ttl_ms: int | None,
+        held: int,
     ) -> None:
-        self.orders, self.facts, self.dims = orders, facts, dims
+        self.orders, self.key, self.facts, self.dims = orders, T.StructField("k", key), facts, dims
         self.left, self.ttl_ms, self.held = left, ttl_ms, held
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.newest = handle.getValueState("newest", self.dims, self.ttl_ms)
+        self.newest = handle.getListState("newest", T.StructType([self.key, *self.dims.fields]), self.ttl_ms)
         places = [T.StructField(f"o{i}", T.LongType()) for i in range(self.orders)]
-        self.waiting = handle.getListState("waiting", T.StructType([*places, *self.facts.fields]))
+        self.waiting = handle.getListState("waiting", T.StructType([self.key, *places, *self.facts.fields]))
 
     def handleInitialState(self, key: tuple, initialState: Row, timerValues: object) -> None:
-        self.newest.update(tuple(initialState[f.name] for f in self.dims.fields))
+        names = ["_key", *self.dims.names]
+        self.newest.put([tuple(row[n] for n in names) for row in initialState["_rows"]])
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
-        known: list[tuple[tuple, tuple]] = []
+        known: dict[object, list[tuple[tuple, tuple]]] = {}
         facts: list[tuple] = []
         waiting = False
-        first_fact, first_dim = self.orders, self.orders + len(self.facts)
+        first_fact, first_dim = 1 + self.orders, 1 + self.orders + len(self.facts)
         for row in rows:
-            values = tuple(row)[-1 - self.orders - len(self.facts) - len(self.dims) :]
-            side, values = values[0], values[1:]
+            side, *values = tuple(row)[-1 - first_dim - len(self.dims) :]
             if side == 0:
-                known.append((values[: self.orders], values[first_dim:]))
+                known.setdefault(values[0], []).append((tuple(values[1:first_fact]), tuple(values[first_dim:])))
             else:
-                facts.append(values[:first_dim])
+                facts.append(tuple(values[:first_dim]))
                 if len(facts) >= self.held + SLICE:
                     self.waiting.appendList(facts[self.held :])
                     del facts[self.held :]
                     waiting = True
-        known.sort(key=lambda k: k[0])
-        places = [k[0] for k in known]
-        stored = tuple(self.newest.get()) if key[0] is not None and self.newest.exists() else None
+        places = {}
+        for k, several in known.items():
+            several.sort(key=lambda d: d[0])
+            places[k] = [d[0] for d in several]
+        stored = {d[0]: tuple(d[1:]) for d in self.newest.get()}
         nothing = (None,) * len(self.dims)
         joined = Row(*[f.name for f in [*self.facts.fields, *self.dims.fields]])
 
         def matched(several: Iterator[tuple]) -> Iterator[Row]:
             for fact in several:
-                at = bisect_right(places, tuple(fact[: self.orders]))
-                dim = known[at - 1][1] if at else stored
+                k = fact[0]
+                at = bisect_right(places[k], tuple(fact[1:first_fact])) if k in places else 0
+                dim = known[k][at - 1][1] if at else stored.get(k)
                 if dim is not None or self.left:
                     yield joined(*fact[first_fact:], *(nothing if dim is None else dim))
 
@@ -77,7 +90,8 @@ class NewestDimension(StatefulProcessor):
             yield from matched(self.waiting.get())
             self.waiting.clear()
         if known:
-            self.newest.update(known[-1][1])
+            stored.update((k, several[-1][1]) for k, several in known.items())
+            self.newest.put([(k, *dim) for k, dim in stored.items()])
 
 
 def temporal_join_state(
@@ -99,11 +113,12 @@ def temporal_join_state(
     numbers, not null. ``initial``, a batch table with the columns of ``dims``
     and one row per key, is what is known before the first batch (a snapshot);
     a restarted query continues from its checkpoint instead. A key's facts of
-    one batch may be any number; beyond ``held_facts`` they wait on disk. Of its
-    dimension rows each batch's must fit in memory.
+    one batch may be any number; beyond ``held_facts`` they wait on disk. Keys are
+    taken together in ``BUCKETS`` groups; of a group's dimension rows each batch's
+    must fit in memory.
 
-    ``state_ttl_ms`` drops a dimension row that long after it came; use a
-    processing-time trigger with it. The state store must be RocksDB, see
+    ``state_ttl_ms`` drops a dimension row that long after it came, and each key
+    is a group of its own; use a processing-time trigger with it. The state store must be RocksDB, see
     ``rocksdb_state``. Null keys match nothing.
     """
     if how not in ("inner", "left"):
@@ -120,9 +135,9 @@ def temporal_join_state(
         columns |= {f"{prefix}{i}": F.col(c) for i, c in enumerate(df.columns)}
         names = [f.name for f in [*fact_type.fields, *dim_type.fields]]
         return df.select(
-            F.col(key).alias("_key"),
             group.alias("_group"),
             F.lit(side).alias("_side"),
+            F.col(key).alias("_key"),
             *[F.col(c).cast("long").alias(f"_o{i}") for i, c in enumerate(order)],
             *[columns[n].alias(n) for n in names],
         )
@@ -135,20 +150,29 @@ def temporal_join_state(
     if how == "inner":
         fact_rows = fact_rows.where(F.col("_key").isNotNull())
     rows = fact_rows.unionByName(tagged(dims.where(F.col(key).isNotNull()), 0, copies))
+    key_type = rows.schema["_key"].dataType
+
+    def bucket(own_key: Column) -> Column:
+        return own_key if state_ttl_ms is not None else F.pmod(F.xxhash64(own_key), F.lit(BUCKETS)).cast("int")
+
     start = None
     if initial is not None:
-        known = initial.where(F.col(key).isNotNull())
-        start = known.select(
-            F.col(key).alias("_key"),
-            copies.alias("_group"),
-            *[F.col(c).alias(f"d{i}") for i, c in enumerate(dims.columns)],
-        ).groupBy("_key", "_group")
+        known = initial.where(F.col(key).isNotNull()).withColumn("_key", F.col(key).cast(key_type))
+        row = F.struct("_key", *[F.col(c).alias(f"d{i}") for i, c in enumerate(dims.columns)])
+        # One row per group, so that its state is written by one call.
+        start = (
+            known.select(bucket(F.col("_key")).alias("_bucket"), copies.alias("_group"), row.alias("_row"))
+            .groupBy("_bucket", "_group")
+            .agg(F.collect_list("_row").alias("_rows"))
+            .groupBy("_bucket", "_group")
+        )
     names = [*facts.columns, *joined_names(facts.columns, dims.columns)]
     out = T.StructType([*fact_type.fields, *dim_type.fields])
     return (
-        rows.groupBy("_key", "_group")
+        rows.select(bucket(F.col("_key")).alias("_bucket"), "*")
+        .groupBy("_bucket", "_group")
         .transformWithState(
-            NewestDimension(len(order), fact_type, dim_type, how == "left", state_ttl_ms, held_facts),
+            NewestDimension(len(order), key_type, fact_type, dim_type, how == "left", state_ttl_ms, held_facts),
             out,
             "Append",
             "None" if state_ttl_ms is None else "ProcessingTime",

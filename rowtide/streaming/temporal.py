@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -18,6 +19,10 @@ JSON_TIMES = {
 }
 # Facts without a key match nothing and only have to lie apart.
 KEYLESS_SLOTS = 256
+#: Groups of keys; a call of Python, some milliseconds, is made for each instead of each key.
+BUCKETS = 512
+#: Facts that leave a group at once.
+SLICE = 10_000
 
 
 def temporal_join_stream(
@@ -41,8 +46,12 @@ def temporal_join_stream(
 
     ``spread`` > 1 divides the facts of every key over that many groups, each
     with its own copy of the dimension state: for keys too hot for one task.
-    Bound the batch size at the sources. ``state_ttl_ms`` drops state that no
-    row touched for that long; by default state is kept. With it, use a
+    Bound the batch size at the sources: a group's rows of one batch are held
+    as text in Arrow. Keys are taken together in ``BUCKETS`` groups, whose state
+    is a map of their keys.
+
+    ``state_ttl_ms`` drops state that no row touched for that long, and each key
+    is a group of its own; by default state is kept. With it, use a
     processing-time trigger: an available-now query would not end, since Spark
     goes on starting empty batches to look for expired state.
     """
@@ -52,11 +61,14 @@ def temporal_join_stream(
         raise ValueError("spread must be at least 1")
     order = [seq] if isinstance(seq, str) else list(seq)
     places = [f"_seq{i}" for i in range(len(order))]
+    text_key = F.col(key).cast("string")
+    bucket = F.pmod(F.xxhash64(text_key), F.lit(BUCKETS)).cast("string") if state_ttl_ms is None else text_key
 
     def tagged(df: DataFrame, side: int, group: Column) -> DataFrame:
         return df.select(
-            F.col(key).cast("string").alias("_key"),
+            bucket.alias("_bucket"),
             group.alias("_group"),
+            text_key.alias("_key"),
             *[F.col(c).alias(p) for c, p in zip(order, places)],
             F.lit(side).alias("_side"),
             F.to_json(
@@ -84,26 +96,49 @@ def temporal_join_stream(
         if state.hasTimedOut:
             state.remove()
             return
-        # A key's rows may come in several chunks, in no order.
-        rows = pd.concat(list(chunks), ignore_index=True)
-        rows = rows.sort_values([*places, "_side"], kind="stable", ignore_index=True)
-        is_dim = (rows["_side"] == 0).to_numpy()
-        texts = rows["_row"].to_numpy(dtype=object)
-        # For each row the place of the newest dimension row up to it, or -1.
-        newest = np.maximum.accumulate(np.where(is_dim, np.arange(len(rows)), -1))
-        stored = state.get[0] if state.exists else None
-        known = np.where(newest >= 0, texts[newest], stored)
-        if newest[-1] >= 0:
-            state.update((texts[newest[-1]],))
+        # A group's rows may come in several chunks, in no order. Each is packed
+        # at once: texts as Arrow bytes, keys as numbers.
+        numbers: dict[str | None, int] = {}
+        packed, codes, texts = [], [], []
+        for chunk in chunks:
+            packed.append(chunk[[*places, "_side"]])
+            codes.append(np.array([numbers.setdefault(k, len(numbers)) for k in chunk["_key"]], np.int32))
+            texts.append(pa.array(chunk["_row"], pa.large_string(), from_pandas=True))
+        text = pa.concat_arrays(texts)
+        del texts
+        ranks = [_sortable(pd.concat([p[c] for p in packed], ignore_index=True)) for c in (*places, "_side")]
+        del packed
+        code = np.concatenate(codes)
+        line = np.lexsort((*ranks[::-1], code))
+        code, is_dim = code[line], ranks[-1][line] == 0
+        del ranks
+        # For each row the place of its key's newest dimension row up to it, or -1.
+        at = np.arange(len(line))
+        first = np.concatenate([[True], code[1:] != code[:-1]])
+        newest = np.maximum.accumulate(np.where(is_dim, at, -1))
+        newest[newest < np.maximum.accumulate(np.where(first, at, 0))] = -1
+        stored = state.get[0] if state.exists else {}
+        keys = list(numbers)
+        last = np.flatnonzero(np.append(first[1:], True) & (newest >= 0))
+        if len(last):
+            rows = text.take(pa.array(line[newest[last]])).to_pylist()
+            state.update(({**stored, **dict(zip([keys[c] for c in code[last]], rows))},))
         if with_ttl and state.exists:
             state.setTimeoutDuration(state_ttl_ms)
-        wanted = ~is_dim if keep_unmatched else ~is_dim & (known != None)  # noqa: E711
-        yield pd.DataFrame({"_fact": texts[wanted], "_dim": known[wanted]})
-
-    joined = rows.groupBy("_key", "_group").applyInPandasWithState(
+        facts = np.flatnonzero(~is_dim)
+        for start in range(0, len(facts), SLICE):
+            some = facts[start : start + SLICE]
+            found = newest[some] >= 0
+            dims_of = np.array([stored.get(keys[c]) for c in code[some]], object)
+            dims_of[found] = text.take(pa.array(line[newest[some[found]]])).to_numpy(zero_copy_only=False)
+            wanted = np.ones(len(some), bool) if keep_unmatched else dims_of != None  # noqa: E711
+            facts_of = text.take(pa.array(line[some[wanted]])).to_numpy(zero_copy_only=False)
+            yield pd.DataFrame({"_fact": facts_of, "_dim": dims_of[wanted]})
+
+    joined = rows.groupBy("_bucket", "_group").applyInPandasWithState(
         match,
         outputStructType="_fact STRING, _dim STRING",
-        stateStructType="row STRING",
+        stateStructType="rows MAP<STRING, STRING>",
         outputMode="append",
         timeoutConf=GroupStateTimeout.ProcessingTimeTimeout
         if with_ttl
@@ -125,3 +160,11 @@ def temporal_join_stream(
 
 def _numbered(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema.fields)])
+
+
+def _sortable(column: pd.Series) -> np.ndarray:
+    """The column as an array that NumPy sorts, nulls last."""
+    if column.dtype != object:
+        return column.to_numpy()
+    ranks, distinct = pd.factorize(column, sort=True)
+    return np.where(ranks < 0, len(distinct), ranks)

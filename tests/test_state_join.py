@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowtide.storage import new_folder
+from rowtide.streaming import state_join
 from rowtide.streaming.options import rocksdb_state
 from rowtide.streaming.state_join import temporal_join_state
 
@@ -93,3 +94,21 @@ def test_state_join_of_nothing_and_bad_options(spark):
         temporal_join_state(rows, rows, "id", "seq", how="right")
     with pytest.raises(ValueError):
         temporal_join_state(rows, rows, "id", "seq", spread=0)
+
+
+def test_many_keys_share_few_groups(spark, monkeypatch):
+    monkeypatch.setattr(state_join, "BUCKETS", 3)
+    keys = [f"k{i}" for i in range(40)]
+    fact = lambda seq, k: (k, seq, decimal.Decimal("1.000"), NOON)
+    initial = [(k, 0, i, ["x"]) for i, k in enumerate(keys)]
+    facts = [[fact(10 + i, k) for i, k in enumerate(keys)], [fact(200 + i, k) for i, k in enumerate(keys)]]
+    dims = [[(k, 10, -i, None) for i, k in enumerate(keys) if i % 2], [(k, 200, 5, []) for k in keys[:3]]]
+    folder = new_folder(spark, "many")
+    start = spark.createDataFrame(initial, DIMS)
+    got = run(spark, folder, facts, dims, initial=start, spread=2)
+    big = {k: -i if i % 2 else i for i, k in enumerate(keys)}
+    want = [(10 + i, k, big[k]) for i, k in enumerate(keys)]
+    want += [(200 + i, k, 5 if i < 3 else big[k]) for i, k in enumerate(keys)]
+    assert sorted((r.seq, r.id, r.big) for r in got.collect()) == sorted(want)
+    stored = spark.read.format("statestore").option("stateVarName", "newest").load(f"{folder}/cp")
+    assert stored.select("key").distinct().count() <= 6

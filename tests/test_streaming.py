@@ -28,6 +28,7 @@ from rowtide.plans.jobs import (
 )
 from rowtide.plans.queries import PRECOMBINE, ROUTES
 from rowtide.storage import new_folder
+from rowtide.streaming import temporal
 
 NOW = {"availableNow": True}
 
@@ -211,6 +212,31 @@ def test_stream_join(spark, spread, rocksdb):
         (5, "a", 2, None, 5), (10, "a", 5, None, 5), (10, "b", 6, 8, 6), (14, "b", None, 7, 12), (20, "a", 7, None, 5)]
 
 
+def test_many_keys_share_few_groups(spark, monkeypatch):
+    monkeypatch.setattr(temporal, "BUCKETS", 3)
+    monkeypatch.setattr(temporal, "SLICE", 4)
+    folder, keys = new_folder(spark, "many"), [f"k{i}" for i in range(40)]
+    parts = [
+        ([item(2 * i + 1, k, i) for i, k in enumerate(keys)], [item(2 * i, k, -i) for i, k in enumerate(keys)]),
+        ([item(100 + i, k, i) for i, k in enumerate(keys)], [item(100 + i, k, 7) for i, k in enumerate(keys) if i % 2]),
+    ]
+    for facts, dims in parts:
+        for name, rows in (("facts", facts), ("dims", dims)):
+            write(spark, f"{folder}/{name}", rows)
+        sides = [as_rows(stream(spark, f"{folder}/{n}")) for n in ("facts", "dims")]
+        joined = temporal_join_stream(*sides, "id", "seq")
+        query = (
+            joined.writeStream.format("parquet").option("path", f"{folder}/joined")
+            .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        assert query.lastProgress.stateOperators[0].numRowsTotal <= 3
+    got = spark.read.schema(joined.schema).parquet(f"{folder}/joined")
+    first = {(2 * i + 1, k, -i) for i, k in enumerate(keys)}
+    second = {(100 + i, k, 7 if i % 2 else -i) for i, k in enumerate(keys)}
+    assert sorted((r.seq, r.id, r.n0) for r in got.collect()) == sorted(first | second)
+
+
 def test_values_keep_their_type(spark):
     big = 2**60 + 1
     got = run_parts(
