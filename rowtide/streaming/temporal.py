@@ -23,6 +23,8 @@ KEYLESS_SLOTS = 256
 BUCKETS = 512
 #: Facts that leave a group at once.
 SLICE = 10_000
+#: Texts of a group's chunk from which on they are held compressed.
+PACKED = 1000
 
 
 def temporal_join_stream(
@@ -46,8 +48,8 @@ def temporal_join_stream(
 
     ``spread`` > 1 divides the facts of every key over that many groups, each
     with its own copy of the dimension state: for keys too hot for one task.
-    Bound the batch size at the sources: a group's rows of one batch are held
-    as text in Arrow. Keys are taken together in ``BUCKETS`` groups, whose state
+    Bound the batch size at the sources: a group's rows of one batch are held,
+    their texts compressed. Keys are taken together in ``BUCKETS`` groups, whose state
     is a map of their keys.
 
     ``state_ttl_ms`` drops state that no row touched for that long, and each key
@@ -97,43 +99,62 @@ def temporal_join_stream(
             state.remove()
             return
         # A group's rows may come in several chunks, in no order. Each is packed
-        # at once: texts as Arrow bytes, keys as numbers.
+        # at once and copied, as its columns are views of a whole Arrow batch.
         numbers: dict[str | None, int] = {}
-        packed, codes, texts = [], [], []
+        codes, texts = [], []
+        columns: dict[str, list[pd.Series]] = {c: [] for c in (*places, "_side")}
         for chunk in chunks:
-            packed.append(chunk[[*places, "_side"]])
+            for c, parts in columns.items():
+                parts.append(pd.Series(chunk[c].to_numpy(copy=True)))
             codes.append(np.array([numbers.setdefault(k, len(numbers)) for k in chunk["_key"]], np.int32))
-            texts.append(pa.array(chunk["_row"], pa.large_string(), from_pandas=True))
-        text = pa.concat_arrays(texts)
-        del texts
-        ranks = [_sortable(pd.concat([p[c] for p in packed], ignore_index=True)) for c in (*places, "_side")]
-        del packed
+            texts.append(_packed(chunk["_row"]))
+            del chunk
+        ends = np.cumsum([len(c) for c in codes])
         code = np.concatenate(codes)
-        line = np.lexsort((*ranks[::-1], code))
+        ranks = [_sortable(pd.concat(columns.pop(c), ignore_index=True)) for c in (*places, "_side")]
+        del codes
+        small = np.int32 if len(code) < 1 << 31 else np.int64
+        line = np.lexsort((*ranks[::-1], code)).astype(small)
         code, is_dim = code[line], ranks[-1][line] == 0
         del ranks
         # For each row the place of its key's newest dimension row up to it, or -1.
-        at = np.arange(len(line))
+        at = np.arange(len(line), dtype=small)
         first = np.concatenate([[True], code[1:] != code[:-1]])
-        newest = np.maximum.accumulate(np.where(is_dim, at, -1))
-        newest[newest < np.maximum.accumulate(np.where(first, at, 0))] = -1
+        newest = np.maximum.accumulate(np.where(is_dim, at, small(-1)))
+        newest[newest < np.maximum.accumulate(np.where(first, at, small(0)))] = -1
+        del at
+        facts = np.flatnonzero(~is_dim)
+        last = np.flatnonzero(np.append(first[1:], True) & (newest >= 0))
+        # Only facts, the dimension rows they meet, and the last ones are unpacked.
+        met = newest[facts]
+        used = np.unique(np.concatenate([line[facts], line[met[met >= 0]], line[newest[last]]]))
+        taken = []
+        for i, stop in enumerate(ends):
+            start = ends[i - 1] if i else 0
+            low, high = np.searchsorted(used, [start, stop])
+            taken.append(_unpacked(texts[i]).take(pa.array(used[low:high] - start)))
+            texts[i] = None
+        text = pa.concat_arrays(taken)
+        del taken
+
+        def texts_of(rows: np.ndarray) -> np.ndarray:
+            found = text.take(pa.array(np.searchsorted(used, line[rows])))
+            return np.array(found.to_pylist(), object)
+
         stored = state.get[0] if state.exists else {}
         keys = list(numbers)
-        last = np.flatnonzero(np.append(first[1:], True) & (newest >= 0))
         if len(last):
-            rows = text.take(pa.array(line[newest[last]])).to_pylist()
-            state.update(({**stored, **dict(zip([keys[c] for c in code[last]], rows))},))
+            new = dict(zip([keys[c] for c in code[last]], texts_of(newest[last])))
+            state.update(({**stored, **new},))
         if with_ttl and state.exists:
             state.setTimeoutDuration(state_ttl_ms)
-        facts = np.flatnonzero(~is_dim)
         for start in range(0, len(facts), SLICE):
             some = facts[start : start + SLICE]
             found = newest[some] >= 0
             dims_of = np.array([stored.get(keys[c]) for c in code[some]], object)
-            dims_of[found] = text.take(pa.array(line[newest[some[found]]])).to_numpy(zero_copy_only=False)
+            dims_of[found] = texts_of(newest[some[found]])
             wanted = np.ones(len(some), bool) if keep_unmatched else dims_of != None  # noqa: E711
-            facts_of = text.take(pa.array(line[some[wanted]])).to_numpy(zero_copy_only=False)
-            yield pd.DataFrame({"_fact": facts_of, "_dim": dims_of[wanted]})
+            yield pd.DataFrame({"_fact": texts_of(some[wanted]), "_dim": dims_of[wanted]})
 
     joined = rows.groupBy("_bucket", "_group").applyInPandasWithState(
         match,
@@ -162,6 +183,21 @@ def _numbered(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema.fields)])
 
 
+def _packed(texts: pd.Series) -> pa.Array | bytes:
+    """Texts as an Arrow column, compressed if they are many."""
+    column = pa.array(texts, pa.large_string(), from_pandas=True)
+    if len(column) < PACKED:
+        return column
+    rows, out = pa.record_batch([column], ["text"]), pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(rows)
+    return out.getvalue().to_pybytes()
+
+
+def _unpacked(packed: pa.Array | bytes) -> pa.Array:
+    return packed if isinstance(packed, pa.Array) else pa.ipc.open_stream(packed).read_next_batch().column(0)
+
+
 def _sortable(column: pd.Series) -> np.ndarray:
     """The column as an array that NumPy sorts, nulls last."""
     if column.dtype != object:
