@@ -131,6 +131,10 @@ def topic_to_tables(
     if dead_letters:
         writers[UNROUTED] = letters_writer("unrouted")
         writers[REJECT] = letters_writer("reject")
+    else:
+        # What no writer reads is not kept either while they run.
+        read = ["dest", "table", "op", "after", *order, *(c for r in routes for c in specs[r.dest].partition_by)]
+        stamped = stamped.where(F.col("dest").isin([*writers])).select(*dict.fromkeys(read))
     return fan_out(stamped, writers, checkpoint, name=name, trigger=trigger, parallel=parallel)
 
 

@@ -3,6 +3,7 @@ import os
 import random
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from rowtide import (
     temporal_join_stream,
     use_rocksdb_state,
 )
+from rowtide.plans import jobs
 from rowtide.plans.jobs import (
     lines_with_dimension,
     run_capture,
@@ -215,6 +217,7 @@ def test_stream_join(spark, spread, rocksdb):
 def test_many_keys_share_few_groups(spark, monkeypatch):
     monkeypatch.setattr(temporal, "BUCKETS", 3)
     monkeypatch.setattr(temporal, "SLICE", 4)
+    monkeypatch.setattr(temporal, "PACKED", 5)
     folder, keys = new_folder(spark, "many"), [f"k{i}" for i in range(40)]
     parts = [
         ([item(2 * i + 1, k, i) for i, k in enumerate(keys)], [item(2 * i, k, -i) for i, k in enumerate(keys)]),
@@ -365,3 +368,23 @@ def test_options_reach_the_queries(spark):
     with rocksdb_state(spark):
         assert "RocksDB" in spark.conf.get(provider)
     assert spark.conf.get(provider) == before
+
+
+def test_texts_of_large_chunks_are_held_compressed():
+    texts = pd.Series([json.dumps({"c0": str(i % 3), "c1": "click", "c2": i}) for i in range(10_000)] + [None])
+    packed = temporal._packed(texts)
+    assert len(packed) < sum(map(len, texts[:-1])) / 3
+    assert temporal._unpacked(packed).to_pylist() == texts[:-1].tolist() + [None]
+
+
+def test_batches_keep_only_what_writers_read(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(jobs, "fan_out", lambda rows, *a, **k: seen.append(rows.columns))
+    folder = new_folder(spark, "columns")
+    write(spark, f"{folder}/log", [(1, change({"id": "1"}))])
+    for letters in (None, f"{folder}/letters"):
+        topic_to_tables(
+            stream(spark, f"{folder}/log"), ROUTES, specs_in(folder), f"{folder}/cp", order=["seq"], dead_letters=letters
+        )
+    assert seen[0] == ["dest", "table", "op", "after", "seq", "logday", "hh"]
+    assert {"value", "reject_reason"} <= set(seen[1])
