@@ -164,6 +164,9 @@ def versions_kept_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dimension's versions stored batch by batch, late rows included."""
     folder = new_folder(spark, "versions")
     dims = _dims(spark, sf_dir).select("id", "name", "modify_time")
+    # Decoded once, not once for each batch.
+    dims.write.parquet(f"{folder}/dims")
+    dims = spark.read.schema(dims.schema).parquet(f"{folder}/dims")
     spec = VersionSpec(
         f"versions_{uuid.uuid4().hex[:12]}", f"{folder}/table", ("id", "name", "modify_time"), ("id",),
         "modify_time", parts=4, period_length=9,

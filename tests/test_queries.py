@@ -4,6 +4,7 @@ import __spark_entry__ as entry
 from check import compare, duck
 from rowtide.plans.checks import CHECKS
 from rowtide.plans.queries import QUERIES
+from rowtide.plans import log_queries
 
 
 @pytest.fixture(scope="module")
@@ -25,3 +26,11 @@ def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["seq", "id", "name", "create_time", "modify_time"]
     assert df.count() == 8
+
+
+def test_versions_are_decoded_once(spark, sf_dir, monkeypatch):
+    read = []
+    monkeypatch.setattr(log_queries, "update_versions", lambda spark, spec, batch: read.append(batch.inputFiles()))
+    monkeypatch.setattr(log_queries, "stored_versions", lambda spark, spec: None)
+    log_queries.versions_kept_up(spark, sf_dir)
+    assert len(read) == 3 and all("/dims/" in f for files in read for f in files)
