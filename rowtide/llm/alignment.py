@@ -30,7 +30,7 @@ from .byte_bpe import TWO_SPACES, byte_characters
 from .common import kept_by_worker, saved, text_parts, whole_text
 
 #: Tokens of both tokenizers in a chunk, about; one text is never cut.
-CHUNK_TOKENS = 1 << 20
+CHUNK_TOKENS = 1 << 19
 #: Bits of a B id in the number of a pair.
 B_BITS = 24
 #: Bytes of text that are encoded together: the tokenizers' own objects take fifty times that.
@@ -284,7 +284,10 @@ def chunks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         held = 0
 
         def chunk() -> pa.RecordBatch:
-            place, distinct = pd.factorize(np.concatenate(pairs))
+            flat = np.concatenate(pairs)
+            pairs.clear()
+            place, distinct = pd.factorize(flat)
+            del flat
             counts = np.bincount(place, minlength=len(distinct))
             # Frequent pairs get small numbers, which take less room on disk.
             order = np.argsort(-counts, kind="stable")
