@@ -18,6 +18,10 @@ T = TypeVar("T")
 
 #: Bytes of text that operators over Arrow batches handle together.
 PART_BYTES = 2 << 20
+#: Bits of one of Spark's bitmaps. A filter has FILTER_BITS bits for each id, in
+#: FILTER_BITMAPS bitmaps (8 MB) at most.
+BITMAP_BITS = 32768
+FILTER_BITS, FILTER_BITMAPS = 16, 2048
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -28,6 +32,30 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def maybe_in(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """All rows of ``df`` whose whole number ``column`` is in ``ids`` (one
+    column, saved), and few others: about one in 16 up to four million ids,
+    more beyond.
+
+    Nothing of ``df`` is shuffled; its tasks get a bitmap of hashed ids. Placed
+    before an exact join with the same ids it leaves the result as it is.
+    """
+    bitmaps = min(FILTER_BITMAPS, 1 + ids.count() * FILTER_BITS // BITMAP_BITS)
+
+    def place(name: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(name).cast("long")), F.lit(bitmaps * BITMAP_BITS))
+
+    marks = ids.select(place(ids.columns[0]).alias("_place")).select(
+        F.floor(F.col("_place") / BITMAP_BITS).alias("_part"), (F.col("_place") % BITMAP_BITS).alias("_bit")
+    )
+    marks = marks.repartition("_part").groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    bit = place(column) % BITMAP_BITS
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    same_part = F.floor(place(column) / BITMAP_BITS) == F.col("_part")
+    # At most 8 MB, whatever the number of ids.
+    return df.join(F.broadcast(marks), same_part & (F.getbit(byte, (bit % 8).cast("int")) == 1), "left_semi")
+
+
 _kept: dict[tuple, object] = {}
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, whole_text
+from .common import maybe_in, saved, whole_text
 from .components import components
 from .shingles import mixed, shingle_sets, slices
 
@@ -288,7 +288,7 @@ def _compared(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """Links of small nodes (node, rep, label), from their full sets."""
     return (
         nodes.select("node", "rep", "label")
-        .join(sets.hint("merge"), "rep")
+        .join(maybe_in(sets, "rep", nodes.select("rep")).hint("merge"), "rep")
         .groupBy("node")
         .agg(F.collect_list(F.struct("rep", "label", "items")).alias("members"))
         .select("members")
@@ -318,8 +318,9 @@ def _children(large: DataFrame, classes: DataFrame, sets: DataFrame, level: int)
     places = F.when(second, F.array(F.lit(first), F.lit(first + 1))).otherwise(F.array(F.lit(first)))
     large = large.select("node", "root", "rep", "n")
     if series:
-        members = large.select("rep").distinct()
-        tokens = saved(_fresh_tokens(sets.join(members, "rep", "left_semi"), series), "tokens")
+        members = saved(large.select("rep").distinct(), "needed")
+        chosen = maybe_in(sets, "rep", members).join(members, "rep", "left_semi")
+        tokens = saved(_fresh_tokens(chosen, series), "tokens")
     else:
         tokens = classes.select("rep", "tokens")
     return (
@@ -369,7 +370,9 @@ def linked_classes(docs: DataFrame, signed: DataFrame) -> DataFrame:
     needed = [pairs.select(F.col(c).alias("doc_id")) for c in ("a", "b")]
     needed = needed[0].unionByName(needed[1]).unionByName(open_nodes.select(F.col("rep").alias("doc_id")))
     needed = saved(needed.distinct(), "needed")
-    sets = saved(full_sets(docs.select("doc_id", "text").join(needed.hint("merge"), "doc_id", "left_semi")), "sets")
+    # Only texts that are probably needed are shuffled for the exact join.
+    texts = maybe_in(docs.select("doc_id", "text"), "doc_id", needed)
+    sets = saved(full_sets(texts.join(needed.hint("merge"), "doc_id", "left_semi")), "sets")
     labels = _labels(saved(_confirmed(pairs, sets), "links"))
     level = 0
     while True:
@@ -383,8 +386,9 @@ def linked_classes(docs: DataFrame, signed: DataFrame) -> DataFrame:
         else:
             level += 1
             open_nodes = _nodes(_children(large, classes, sets, level), classes, "nodes")
-            pairs = _to_leaders(open_nodes, classes).select("a", "b").distinct()
-            new = new.unionByName(saved(_confirmed(pairs, sets), "links"))
+            pairs = saved(_to_leaders(open_nodes, classes).select("a", "b").distinct(), "candidates")
+            paired = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
+            new = new.unionByName(saved(_confirmed(pairs, maybe_in(sets, "rep", paired)), "links"))
         if not new.isEmpty():
             labels = _labels(labels.select(F.col("rep").alias("a"), F.col("component").alias("b")).unionByName(new))
 

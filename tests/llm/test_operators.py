@@ -26,6 +26,7 @@ from rowtide.llm import (
     secrets,
     toxicity,
 )
+from rowtide.llm.common import maybe_in
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -108,6 +109,38 @@ def test_near_dedup_levels_follow_the_logarithm_of_a_node(spark, monkeypatch):
     assert 2 < len(levels) <= 20  # 32 before, one per document beyond the limit
 
 
+def test_near_dedup_shuffles_only_texts_that_may_have_links(spark, monkeypatch):
+    """All texts went through the join with the needed ids before."""
+    base = prose(1, 60)
+    rows = [(i, " ".join(prose(100 + i, 60))) for i in range(300)]
+    rows += [(1000 + i, " ".join([*base[:-1], f"w{i}"])) for i in range(6)] + [(None, "a b"), (2000, None)]
+    seen, whole = [], near_dedup.maybe_in
+
+    def counted(df, column, ids):
+        chosen = whole(df, column, ids)
+        wanted, got = ({r[0] for r in d.select(c).collect()} for d, c in ((ids, ids.columns[0]), (chosen, column)))
+        seen.append((column, df.count(), chosen.count(), wanted <= got))
+        return chosen
+
+    monkeypatch.setattr(near_dedup, "maybe_in", counted)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(table(spark, rows)).collect()}
+    assert {i for i, c in got.items() if c == 1000} == set(range(1000, 1006)) and len(got) == len(rows)
+    column, before, after, all_there = seen[0]
+    assert column == "doc_id" and before == len(rows) and after <= 60 and all(s[3] for s in seen)
+
+
+@pytest.mark.parametrize("bitmaps", [1, 4])
+def test_an_id_filter_loses_no_row(spark, monkeypatch, bitmaps):
+    monkeypatch.setattr("rowtide.llm.common.FILTER_BITMAPS", bitmaps)
+    rows = spark.range(-20000, 20000).withColumn("text", F.lit("t"))
+    ids = spark.range(-20000, 20000, 5).withColumnRenamed("id", "wanted")
+    chosen = maybe_in(rows, "id", ids)
+    assert chosen.columns == ["id", "text"]
+    assert chosen.join(ids, F.col("id") == F.col("wanted"), "left_semi").count() == 8000
+    assert 8000 < chosen.count() < (18000 if bitmaps == 1 else 12000)
+    assert maybe_in(rows, "id", ids.where("wanted > 20000")).count() == 0
+
+
 def test_near_dedup_edges(spark):
     rows = near_dedup.near_duplicates(table(spark, EDGES)).collect()
     assert len(rows) == len(EDGES) and all(r.kept for r in rows)
