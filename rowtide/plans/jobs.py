@@ -54,11 +54,16 @@ def select_changes(changes: DataFrame, dbs: str, tables: str) -> DataFrame:
 
 
 def capture_to_topic(
-    changes: DataFrame, parallel: int | None = None, key: Column | None = None, seq: str | None = None
+    changes: DataFrame,
+    parallel: int | None = None,
+    key: Column | None = None,
+    seq: str | None = None,
+    rows: int = 0,
 ) -> DataFrame:
     """Events as Kafka message columns, spread over ``parallel`` writers if
-    given. With a key its changes go through one writer, in the order of ``seq``."""
-    spread = with_parallelism(changes, parallel, key, seq) if parallel else changes
+    given. With a key its changes go through one writer, in the order of ``seq``.
+    Of a log of about ``rows`` each writer takes its share in tasks of limited size."""
+    spread = with_parallelism(changes, parallel, key, seq, rows) if parallel else changes
     return to_kafka_columns(spread, key)
 
 
@@ -198,7 +203,9 @@ def run_capture(
     position on, by their number of writers."""
     started = start_changes(snapshot, log, options.position, at, seq)
     chosen = select_changes(started, options.db_list, options.table_list)
-    return capture_to_topic(chosen, options.parallel, key, None if key is None else seq)
+    # Counted before decoding, which needs no column of most sources.
+    rows = 0 if started.isStreaming else started.count()
+    return capture_to_topic(chosen, options.parallel, key, None if key is None else seq, rows)
 
 
 def run_tables(

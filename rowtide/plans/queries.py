@@ -228,10 +228,10 @@ def shard_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def message_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each change's place among those of its key, as the writers send them."""
-    parsed = parse_envelope(change_log(spark, sf_dir), ["id"])
-    rows = parsed.select("db", "table", F.col("after.id").alias("id"), "seq")
+    log = change_log(spark, sf_dir)
+    rows = parse_envelope(log, ["id"]).select("db", "table", F.col("after.id").alias("id"), "seq")
     keyed = with_partition_key(rows, ["db", "table", "id"])
-    sent = with_parallelism(keyed, 16, F.col("partition_key"), "seq")
+    sent = with_parallelism(keyed, 16, F.col("partition_key"), "seq", log.count())
     sent = sent.withColumn("_sent", F.monotonically_increasing_id())
     place = F.row_number().over(Window.partitionBy("partition_key").orderBy("_sent"))
     return sent.select("partition_key", "seq", place.alias("place"))

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+#: Rows of a task beyond which a writer's work is cut into several tasks.
+ROWS_PER_TASK = 1 << 18
+
 
 def to_kafka_columns(df: DataFrame, key: Column | None = None, value: str = "value") -> DataFrame:
     """Message columns: the UTF-8 bytes of the text, and a key if given.
@@ -56,21 +59,25 @@ def with_partition_key(
 
 
 def with_parallelism(
-    df: DataFrame, parallel: int, key: Column | None = None, seq: str | None = None
+    df: DataFrame, parallel: int, key: Column | None = None, seq: str | None = None, rows: int = 0
 ) -> DataFrame:
     """Spread rows over ``parallel`` writers: evenly, or by ``key``.
 
-    Rows of one key share a writer. ``seq`` sorts each writer's rows, so that
-    the changes of a key leave in that order; a stream cannot be sorted, so
-    there the order within a batch is that of the source partitions.
+    ``rows`` is about how many there are, if known. A writer of more than
+    ``ROWS_PER_TASK`` works in several tasks of about that many; task ``t``
+    belongs to writer ``t % parallel``. Rows of one key share a task, so a hot
+    key is not divided. ``seq`` sorts each task's rows, so that the changes of a
+    key leave in that order; a stream cannot be sorted, so there the order
+    within a batch is that of the source partitions.
     """
     if parallel < 1:
         raise ValueError("parallel must be at least 1")
     if seq is not None and key is None:
         raise ValueError("an order needs a key")
+    tasks = parallel * max(1, -(-rows // (parallel * ROWS_PER_TASK)))
     if key is None:
-        return df.repartition(parallel)
-    spread = df.repartition(parallel, key)
+        return df.repartition(tasks)
+    spread = df.repartition(tasks, key)
     return spread if seq is None or df.isStreaming else spread.sortWithinPartitions(seq)
 
 

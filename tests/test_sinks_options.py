@@ -1,3 +1,5 @@
+from collections import Counter, defaultdict
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,6 +48,33 @@ def test_parallelism(spark):
         with_parallelism(spark.range(10), 0)
 
 
+def test_a_writers_tasks_grow_with_the_log(spark, monkeypatch):
+    """A quarter of the log went through one task, however long the log."""
+    from rowtide.plans.jobs import run_capture
+
+    monkeypatch.setattr("rowtide.sinks.messages.ROWS_PER_TASK", 50)
+    options = JobOptions(db_list="d", table_list="d.t", parallel=4)
+    for n, tasks in ((150, 4), (2000, 40)):
+        log = spark.range(n).selectExpr(
+            "id AS seq",
+            """concat('{"source":{"db":"d","table":"t"},"op":"c","after":{"id":"', id % 1000, '","n":"', id, '"}}') AS value""",
+        )
+        key = F.regexp_extract("value", '"id":"([^"]*)"', 1)
+        sent = run_capture(options, log, key=key)
+        assert sent.rdd.getNumPartitions() == tasks
+        rows = sent.selectExpr("string(key) AS k", """regexp_extract(string(value), '"n":"([0-9]+)"', 1) AS n""")
+        rows = rows.withColumn("t", F.spark_partition_id()).collect()
+        assert sorted(int(r.n) for r in rows) == list(range(n))
+        share, order = Counter(r.t for r in rows), defaultdict(list)
+        for r in rows:
+            order[r.k].append((r.t, int(r.n)))
+        assert max(share.values()) <= 100 and all(v == sorted(v) for v in order.values())
+        assert all(len({t for t, _ in v}) == 1 for v in order.values())
+    writer = lambda df: {r.k: r.t % 4 for r in df.select("k", F.spark_partition_id().alias("t")).collect()}
+    keys = spark.range(1000).withColumnRenamed("id", "k")
+    assert writer(with_parallelism(keys, 4, F.col("k"))) == writer(with_parallelism(keys, 4, F.col("k"), rows=1000))
+
+
 def test_console_prints_new_rows(spark, tmp_path):
     from rowtide import console, read_lines
 
