@@ -18,6 +18,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,10 @@ THRESHOLD = 0.7
 REMEMBERED, REMEMBERED_HOT = 400_000, 50_000
 
 LETTERS = re.compile(r"[^\W\d_]+")
+#: Signs at a word's ends that do not change what it is compared as.
+SIGNS = ".,;:!?\"'()[]-"
+#: Pairs of words whose kernels are computed at once.
+BLOCK = 1024
 
 _CODE = np.zeros(256, np.uint8)
 _CODE[97:123] = np.arange(1, 27)
@@ -90,19 +95,37 @@ _FAR = np.where(np.arange(WIDTH)[None] >= np.arange(WIDTH)[:, None], _FAR, 0)
 
 def kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
     """Gap-weighted subsequence kernel of each row of ``s`` with that of ``t``."""
-    match = (s[:, :, None] == t[:, None, :]) & (s[:, :, None] > 0)
-    prefix = np.ones((WIDTH + 1, len(s), WIDTH))
-    for _ in range(LENGTH - 1):
-        after = np.zeros_like(prefix)
-        for j in range(WIDTH):
-            before = np.zeros((len(s), WIDTH))
+    total = np.empty(len(s))
+    order = np.argsort(widths(s), kind="stable")
+    for at in range(0, len(s), BLOCK):
+        rows = order[at : at + BLOCK]
+        total[rows] = _kernel(s[rows], t[rows])
+    return total
+
+
+def widths(codes: np.ndarray) -> np.ndarray:
+    """Places of each row up to its last letter."""
+    return WIDTH - (codes[:, ::-1] > 0).argmax(1)
+
+
+def _kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
+    # Places after the last letter match nothing, so they are left out.
+    m, n = widths(s).max(), widths(t).max()
+    s, t, far = s[:, :m], t[:, :n], _FAR[:m, :m]
+    match = [((s == t[:, j, None]) & (s > 0)).astype(float) for j in range(n)]
+    prefix = [np.ones((len(s), m))] * n
+    for step in range(LENGTH - 1):
+        after = [np.zeros((len(s), m))]
+        for j in range(n - 1):
+            before = np.empty((len(s), m))
             before[:, 1:] = prefix[j][:, :-1]
-            before[:, 0] = prefix[j][:, 0] if _ == 0 else 0
-            after[j + 1] = DECAY * after[j] + (match[:, j] * before) @ _FAR
+            before[:, 0] = 1 if step == 0 else 0
+            before *= match[j]
+            after.append(DECAY * after[j] + before @ far)
         prefix = after
     total = np.zeros(len(s))
-    for j in range(WIDTH):
-        total += DECAY**2 * (match[:, j, 1:] * prefix[j][:, :-1]).sum(1)
+    for j in range(n):
+        total += DECAY**2 * (match[j][:, 1:] * prefix[j][:, :-1]).sum(1)
     return total
 
 
@@ -126,22 +149,18 @@ class Landmarks:
         if not found or not self.words:
             return out
         codes = coded(found)
-        own_pairs = _pairs(codes, 2)
+        low, high = np.ascontiguousarray(_pairs(codes, 2).T)
         pairs = []
         for k in range(len(self.words)):
-            shared = np.bitwise_count(self.pairs[k] & own_pairs).sum(1)
+            shared = np.bitwise_count(self.pairs[k, 0] & low) + np.bitwise_count(self.pairs[k, 1] & high)
             pairs.append(np.flatnonzero(shared >= self.least[k]))
         rows = np.concatenate(pairs)
         if not len(rows):
             return out
         cols = np.repeat(np.arange(len(self.words)), [len(p) for p in pairs])
         used, at = np.unique(rows, return_inverse=True)
-        own = np.empty(len(used))
-        for i in range(0, len(used), 4096):
-            own[i : i + 4096] = kernel(codes[used[i : i + 4096]], codes[used[i : i + 4096]])
-        for i in range(0, len(rows), 4096):
-            r, c = rows[i : i + 4096], cols[i : i + 4096]
-            out[r, c] = kernel(codes[r], self.codes[c]) / np.sqrt(own[at[i : i + 4096]] * self.own[c] + 1e-300)
+        own = kernel(codes[used], codes[used])
+        out[rows, cols] = kernel(codes[rows], self.codes[cols]) / np.sqrt(own[at] * self.own[cols] + 1e-300)
         out[out < LEAST_KERNEL] = 0
         return out
 
@@ -166,20 +185,32 @@ class Featurizer:
         self.cold: set[str] = set()
         self.hot: dict[str, np.ndarray] = {}
 
-    def learn(self, words: set[str]) -> None:
-        """Compare words that were not met before."""
-        new = [w for w in words if w not in self.hot]
-        own = [units(w) for w in new]
-        flat = list(dict.fromkeys(u for us in own for u in us))
+    def learn(self, words: set[str]) -> set[str]:
+        """Compare words that were not met before; those of ``words`` with features."""
+        cold, hot = self.cold, self.hot
+        whole, cut = {}, {}  # words compared as one unit, and as any number
+        for w in words:
+            if w in hot:
+                continue
+            plain = w.strip(SIGNS)
+            if plain != w and plain in cold:
+                cold.add(w)
+            elif plain != w and plain in hot:
+                hot[w] = hot[plain]
+            elif LENGTH <= len(plain) < WIDTH and plain.isalpha():
+                whole[w] = plain
+            else:
+                cut[w] = units(plain)
+        flat = list(dict.fromkeys(chain(whole.values(), *cut.values())))
         values = self.landmarks.kernels(flat)
-        row = {u: i for i, u in enumerate(flat)}
-        some = values.any(1)
-        for w, us in zip(new, own):
-            hits = [row[u] for u in us if some[row[u]]]
-            if hits:
-                self.hot[w] = values[hits].max(0)
-            elif len(w) > 1:
-                self.cold.add(w)
+        row = {flat[i]: i for i in np.flatnonzero(values.any(1)).tolist()}
+        warm = {w: values[row[u]].copy() for w, u in whole.items() if u in row}
+        for w, us in cut.items():
+            if not row.keys().isdisjoint(us):
+                warm[w] = values[[row[u] for u in us if u in row]].max(0)
+        hot.update(warm)
+        cold.update(w for w in chain(whole, cut) if w not in warm and len(w) > 1)
+        return {w for w in words if w in hot}
 
     def texts(self, texts: list[str]) -> list[np.ndarray]:
         """For each text the features of its sentences that have any. A sentence
@@ -188,23 +219,30 @@ class Featurizer:
             self.cold.clear()
         if len(self.hot) > REMEMBERED_HOT:
             self.hot.clear()
-        split = [t.lower().split() for t in texts]
         cold, hot = self.cold, self.hot
-        self.learn({w for ws in split for w in ws if w not in cold and len(w) > 1})
-        warm = [[(i, w) for i, w in enumerate(ws) if w not in cold] for ws in split]
+        split, words = [], set()
+        for text in texts:
+            split.append(text.lower().split())
+            words.update(split[-1])
+        words -= cold
+        letters = {w for w in words if len(w) == 1}
+        words = self.learn(words - letters) | letters
+        warm, stops = [], []
+        for ws in split:
+            warm.append([(i, w) for i, w in enumerate(ws) if w in words])
+            stops.append([i for i, w in enumerate(ws) if w[-1] in ".!?"] if len(warm[-1]) > 1 else [])
         apart = [self.spelled(found) for found in warm]
         self.learn({w for found in apart for _, w in found if w not in cold})
         out = []
-        for ws, found, letters in zip(split, warm, apart):
-            found = [(i, hot[w]) for i, w in [*found, *letters] if w in hot]
-            rows = [row for _, row in found]
+        for found, joined, ends in zip(warm, apart, stops):
+            found = [(i, hot[w]) for i, w in [*found, *joined] if w in hot]
+            rows = np.array([row for _, row in found]) if found else np.zeros((0, len(self.landmarks.words)))
             if len(found) > 1:
-                ends = [i for i, w in enumerate(ws) if w[-1] in ".!?"]
-                sentences: dict[int, list[np.ndarray]] = {}
-                for i, row in found:
-                    sentences.setdefault(bisect_left(ends, i), []).append(row)
-                rows = [r[0] if len(r) == 1 else np.max(r, axis=0) for r in sentences.values()]
-            out.append(np.array(rows) if rows else np.zeros((0, len(self.landmarks.words))))
+                sentences: dict[int, int] = {}  # in the order in which they are met
+                nr = np.array([sentences.setdefault(bisect_left(ends, i), len(sentences)) for i, _ in found])
+                order = np.argsort(nr, kind="stable")
+                rows = np.maximum.reduceat(rows[order], np.searchsorted(nr[order], np.arange(len(sentences))))
+            out.append(rows)
         return out
 
     @staticmethod

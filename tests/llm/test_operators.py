@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -440,3 +442,39 @@ def test_a_worker_keeps_what_one_operator_needs():
     assert common.kept_by_worker(("one", 1), list) is a and common.kept_by_worker(("one", 2), list) is b
     common.kept_by_worker(("two",), list)
     assert common.kept_by_worker(("one", 1), list) is not a
+
+
+def test_kernel_equals_brute_force_and_leaves_empty_places_out():
+    def slow(s, t):
+        def spans(w):
+            w = "^" + w
+            return [(tuple(w[i] for i in at), at[-1] - at[0] + 1) for at in itertools.combinations(range(len(w)), 3)]
+
+        return sum(toxicity.DECAY ** (n + m) for a, n in spans(s) for b, m in spans(t) if a == b)
+
+    words = ["abc", "abcabc", "ab", "bacad", "abcdefghijklabcdefghijk", "ccbbaa", "zzz"]
+    pairs = [(s, t) for s in words for t in words]
+    got = toxicity.kernel(*(toxicity.coded(list(side)) for side in zip(*pairs)))
+    assert np.allclose(got, [slow(s, t) for s, t in pairs], rtol=1e-12)
+    many = prose(1, 4000)
+    s, t = toxicity.coded(many), toxicity.coded(many[::-1])
+    tracemalloc.start()
+    together = toxicity.kernel(s, t)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10 << 20  # all 24 places of all rows at once would take 40 MB
+    assert np.allclose(together, [toxicity.kernel(s[i : i + 1], t[i : i + 1])[0] for i in range(4000)], rtol=1e-12)
+
+
+def test_words_met_with_other_signs_are_not_compared_again(monkeypatch):
+    compared, kernels = [], toxicity.Landmarks.kernels
+    monkeypatch.setattr(toxicity.Landmarks, "kernels", lambda self, found: compared.extend(found) or kernels(self, found))
+    features = toxicity.Featurizer(toxicity.Landmarks(["gorblax", "snivelor"]))
+    first = features.texts(["gorblax fine word-s"])[0]
+    assert compared and first.any()
+    compared.clear()
+    texts = ['"gorblax", fine. (word-s)', "FINE! gorblax?", "fine;"]
+    again = features.texts(texts)
+    assert compared == []
+    fresh = toxicity.Featurizer(features.landmarks).texts(texts)
+    assert all(np.allclose(a, b, rtol=1e-12) for a, b in zip(again, fresh)) and again[0].any() and not len(again[2])
