@@ -19,9 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import maybe_in, saved, whole_text
+from .common import maybe_in, saved, text_parts, whole_text
 from .components import components
-from .shingles import mixed, shingle_sets, slices
+from .shingles import SLICE_BYTES, mixed, shingle_sets, slices
 
 #: Independent trees. A pair of similarity s meets at the root of one with probability s.
 TREES = 10
@@ -82,16 +82,15 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for part in slices([len(t) for t in texts]):
-                sizes, digests, tokens = _signed(texts[part])
+            for part in text_parts(batch, "text", SLICE_BYTES):
+                sizes, digests, tokens = _signed(part.column("text").to_pylist())
                 flat = pa.array(tokens.ravel(), pa.int64())
                 at = pa.array(np.arange(0, len(sizes) + 1, dtype=np.int32) * TOKENS)
                 low = (tokens & 255).astype(np.uint8)
                 sketches = [n.to_bytes(4, "little") + row.tobytes() for n, row in zip(sizes, low)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id")[part.start : part.stop],
+                        part.column("doc_id"),
                         pa.array(sizes, pa.int64()),
                         pa.array(digests, pa.binary()),
                         pa.ListArray.from_arrays(at, flat),
@@ -111,13 +110,12 @@ def full_sets(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for part in slices([len(t) for t in texts]):
-                sets = shingle_sets(texts[part])
+            for part in text_parts(batch, "text", SLICE_BYTES):
+                sets = shingle_sets(part.column("text").to_pylist())
                 at = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 items = pa.array(np.concatenate(sets).astype(np.int64), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("rep")[part.start : part.stop], pa.ListArray.from_arrays(pa.array(at), items)],
+                    [part.column("rep"), pa.ListArray.from_arrays(pa.array(at), items)],
                     names=["rep", "items"],
                 )
 

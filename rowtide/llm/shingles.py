@@ -9,7 +9,7 @@ import numpy as np
 #: Words per shingle.
 WORDS = 5
 #: Bytes of text hashed at once; a longer text is hashed alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
 #: White space between words: U+0020 and U+0009 to U+000D.

@@ -49,6 +49,9 @@ THRESHOLD = 0.7
 #: and those with some, about 400. Beyond it, memory is cleared, results stay the same.
 REMEMBERED, REMEMBERED_HOT = 400_000, 50_000
 
+#: Bytes of text that the filter scores at once: words, units and kernels of all are held.
+FILTER_BYTES = 256 << 10
+
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Signs at a word's ends that do not change what it is compared as.
 SIGNS = ".,;:!?\"'()[]-"
@@ -470,9 +473,8 @@ def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Featurizer(Landmarks(model.landmarks))
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for at in range(0, len(texts), 512):
-                keep = model.scores(features.texts(texts[at : at + 512])) < THRESHOLD
-                yield batch.slice(at, 512).filter(pa.array(keep))
+            for part in text_parts(batch, "text", FILTER_BYTES):
+                texts = [t or "" for t in part.column("text").to_pylist()]
+                yield part.filter(pa.array(model.scores(features.texts(texts)) < THRESHOLD))
 
     return docs.mapInArrow(run, docs.schema)

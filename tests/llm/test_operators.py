@@ -12,6 +12,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -209,6 +210,30 @@ def test_secrets_spans_and_randomness(spark):
     assert secrets.find_secrets(table(spark, [])).collect() == []
 
 
+def test_workers_hold_one_part_of_a_batch(spark, monkeypatch):
+    """Memory of a worker follows the parts it handles, not the batch it is given."""
+    texts = [f"{i} " + ("word." + " " * 60) * 450 for i in range(1000)]  # 30 MB in one batch
+    model = toxicity.Model(["insulted"], np.ones(1), 0.0, 1.0, -3.0, 0.1)
+    docs = table(spark, [(1, "a")]).select("doc_id", "text")
+    for stage, column, kind in (
+        (near_dedup.signatures, "doc_id", pa.binary()),
+        (near_dedup.full_sets, "rep", pa.binary()),
+        (lambda d: toxicity.drop_toxic(d, model), "doc_id", pa.string()),
+    ):
+        found = []
+        with monkeypatch.context() as m:
+            m.setattr(type(docs), "mapInArrow", lambda self, run, schema, found=found: found.append(run))
+            stage(docs)
+        ids = pa.array(range(len(texts)), pa.int64())
+        batch = pa.RecordBatch.from_arrays([ids, pa.array(texts, kind)], names=[column, "text"])
+        list(found[0](iter([batch.slice(0, 40)])))  # builds tables that stay
+        tracemalloc.start()
+        rows = sum(out.num_rows for out in found[0](iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows == len(texts) and peak < 28 << 20, peak
+
+
 def test_toxicity_learns_and_tolerates_inserted_letters(spark):
     rng = random.Random(2)
     bad = ["gorblax", "snivelor", "drumpkin"]
