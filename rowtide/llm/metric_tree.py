@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import saved
@@ -208,6 +208,25 @@ def _searched(pairs: DataFrame, k: int, largest: float) -> DataFrame:
     return pairs.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
+def _met(tree: DataFrame, blocks: DataFrame, rows: int, queries: int, tasks: int) -> DataFrame:
+    """Each page with each row of ``blocks`` (block, queries) once, in about ``tasks`` tasks.
+
+    Tasks form a grid: pages are dealt to slots and go to each group of blocks,
+    blocks are dealt to groups and go to each slot. Groups are as many as make
+    copies fewest. Blocks are never broadcast: Spark's estimate of their size
+    leaves out the copies, so the driver would hold all of them.
+    """
+    groups = max(1, min(blocks.count(), round((tasks * queries / max(1, rows)) ** 0.5)))
+    slots = max(1, -(-tasks // groups))
+
+    def each(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    pages = tree.withColumn("slot", F.pmod(F.xxhash64("pivot", "page"), F.lit(slots)).cast("int"))
+    dealt = blocks.select("queries", F.pmod("block", F.lit(groups)).cast("int").alias("group"), each(slots).alias("slot"))
+    return pages.withColumn("group", each(groups)).join(dealt.hint("merge"), ["slot", "group"])
+
+
 def _best(hits: DataFrame, k: int, *of: str) -> DataFrame:
     order = Window.partitionBy(*of).orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
@@ -261,17 +280,13 @@ def top_inner_products(vectors: DataFrame, queries: str, k: int = 5) -> DataFram
     bounds = bounds.agg(F.min("score").alias("bound"), F.count(F.lit(1)).alias("n")).where(F.col("n") == k)
     bounds = bounds.select(F.col("query_id").alias("vec_id"), "nr", "bound")
     asked = asked.select(*query).join(bounds, ["vec_id", "nr"], "left")
-    blocks = max(1, -(-asked.count() // BLOCK))
-    slots = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    asked = (
-        asked.groupBy(F.pmod(F.xxhash64("vec_id", "nr"), F.lit(blocks)).alias("block"))
-        .agg(F.collect_list(F.struct(*query, "bound")).alias("queries"))
-        .select("queries", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))
-    )
-    # Each block of queries goes once to each slot, where it meets the slot's pages.
-    slotted = tree.withColumn("slot", F.pmod(F.xxhash64("pivot", "page"), F.lit(slots)).cast("int"))
+    count = asked.count()
+    blocks = asked.groupBy(F.pmod(F.xxhash64("vec_id", "nr"), F.lit(max(1, -(-count // BLOCK)))).alias("block"))
+    blocks = saved(blocks.agg(F.collect_list(F.struct(*query, "bound")).alias("queries")), "blocks")
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # All pages are searched here, the first ones again, so each row is met once.
-    hits = _best(_searched(slotted.join(asked, "slot"), k, largest), k, "query_id", "nr").drop("rank")
+    pairs = _met(tree, blocks, placed.count(), count, tasks)
+    hits = _best(_searched(pairs, k, largest), k, "query_id", "nr").drop("rank")
     copies = F.explode(F.sequence(F.lit(1).cast("long"), F.least("times", F.lit(k))))
     hits = hits.select("query_id", "vec_id", "score", copies.alias("copy"))
     return _best(hits, k, "query_id").select("query_id", F.col("rank").cast("int"), "vec_id", "score")

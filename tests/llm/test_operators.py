@@ -290,6 +290,37 @@ def test_metric_tree_equals_brute_force(spark):
     assert metric_tree.top_inner_products(table_.limit(0), "vec_id % 50 = 0").collect() == []
 
 
+def test_metric_tree_keeps_copies_of_queries_from_the_driver(spark):
+    rng = np.random.default_rng(2)
+    x = rng.integers(-100, 100, (600, 8))
+    table_ = spark.createDataFrame([(i, [float(c) / 256 for c in v]) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        # A block has a copy for each of some 600 tasks; the block alone is small.
+        spark.conf.set("spark.sql.shuffle.partitions", "600")
+        found = metric_tree.top_inner_products(table_, "vec_id % 50 = 0")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in found.collect()}
+        ran = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert "SortMergeJoin" in ran and "Broadcast" not in plan + ran
+    for q in range(0, 600, 50):
+        s = x @ x[q]
+        best = sorted((i for i in range(600) if i != q), key=lambda i: (-s[i], i))[:5]
+        assert [got[(q, rank)] for rank in range(1, 6)] == [(i, int(s[i])) for i in best]
+
+
+def test_metric_tree_meets_each_page_with_each_block_once(spark):
+    tree = spark.range(40).selectExpr("cast(id % 4 AS int) AS pivot", "id AS page")
+    blocks = spark.range(9).selectExpr("id AS block", "array(id) AS queries")
+    want = {(p % 4, p, b) for p in range(40) for b in range(9)}
+    # As many queries as rows, few of them, one task, and more groups than blocks.
+    for rows, queries, tasks in ((100, 100, 25), (1000, 10, 12), (100, 100, 1), (1, 100, 300), (0, 0, 3)):
+        got = [(r.pivot, r.page, r.queries[0]) for r in metric_tree._met(tree, blocks, rows, queries, tasks).collect()]
+        assert len(got) == len(want) and set(got) == want
+
+
 def test_metric_tree_counts_repeated_rows_and_large_components(spark, monkeypatch):
     monkeypatch.setattr(metric_tree, "PIVOTS", 4)
     monkeypatch.setattr(metric_tree, "PAGE", 16)
