@@ -31,6 +31,9 @@ from .common import kept_by_worker, saved, text_parts, whole_text
 
 #: Tokens of both tokenizers in a chunk, about; one text is never cut.
 CHUNK_TOKENS = 1 << 19
+#: Bytes of a group of rows in the files of chunks. Spark's reader may hold all of
+#: a group's rows at once, a few times larger than on disk.
+GROUP_BYTES = 16 << 20
 #: Bits of a B id in the number of a pair.
 B_BITS = 24
 #: Bytes of text that are encoded together: the tokenizers' own objects take fifty times that.
@@ -265,16 +268,23 @@ class _Rows:
 
 
 CHUNKS = (
-    "chunk long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
-    "groups_sha256 array<string>, pairs array<long>, counts array<long>, places array<int>"
+    "chunk long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
+    "places array<int>, pairs array<long>, counts array<long>"
+)
+CHUNK_SCHEMA = pa.schema(
+    [(name, pa.int64()) for name in ("chunk", "doc_id", "n_a", "n_b", "n_groups", "n_links")]
+    + [("groups_sha256", pa.string()), ("places", pa.list_(pa.int32()))]
+    + [(name, pa.list_(pa.int64())) for name in ("pairs", "counts")]
 )
 
 
 def chunks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """Rows of ``aligned`` by chunks: counts and digests of the chunk's rows, its
-    distinct pairs and their counts, and each link's place among those pairs.
+    """Rows of ``aligned`` as counts and digests, each with the number of its chunk
+    and its links' places among the chunk's distinct pairs. Those and their counts
+    are in the chunk's first row, the others have none.
 
-    Tokens become links in the same task, so they never leave it.
+    Tokens become links in the same task, so they never leave it. A row holds one
+    text: readers and joins keep many rows, which must not be whole chunks.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,8 +303,13 @@ def chunks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
             order = np.argsort(-counts, kind="stable")
             rank = np.empty(len(order), np.int32)
             rank[order] = np.arange(len(order))
-            values = [[number], *([r] for r in rows), [distinct[order]], [counts[order]], [rank[place]]]
-            return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema)], schema=schema)
+            n = len(rows[0])
+            of_rows = pa.array(np.concatenate([[0], np.cumsum(rows[4])]), pa.int32())
+            of_first = pa.array(np.repeat([0, len(order)], [1, n]), pa.int32())
+            columns = [pa.array(v, f.type) for v, f in zip(([number] * n, *rows), CHUNK_SCHEMA)]
+            columns.append(pa.ListArray.from_arrays(of_rows, pa.array(rank[place], pa.int32())))
+            columns += [pa.ListArray.from_arrays(of_first, pa.array(v[order], pa.int64())) for v in (distinct, counts)]
+            return pa.RecordBatch.from_arrays(columns, schema=CHUNK_SCHEMA)
 
         for part in _aligned(batches, a_path, b_path, TEXT_BYTES):
             found = _Rows(part)
@@ -313,9 +328,6 @@ def chunks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         if rows[0]:
             yield chunk()
 
-    longs, kinds = pa.list_(pa.int64()), [pa.int64(), *[pa.list_(pa.int64())] * 5, pa.list_(pa.string())]
-    kinds += [longs, longs, pa.list_(pa.int32())]
-    schema = pa.schema([(field.split()[0], kind) for field, kind in zip(CHUNKS.split(", "), kinds)])
     texts = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"))
     return texts.mapInArrow(run, CHUNKS)
 
@@ -336,31 +348,21 @@ def linked(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     groups_sha256, the digest of its groups. Texts are taken as by ``aligned``;
     those without tokens have zeros.
     """
-    chunked = saved(chunks(docs, a_path, b_path), "chunks")
-    wanted = chunked.select("chunk", F.posexplode("pairs").alias("place", "pair"))
-    priced = (
-        wanted.join(pair_counts(chunked).hint("shuffle_hash"), "pair")
-        .groupBy("chunk")
-        .agg(F.array_sort(F.collect_list(F.struct("place", "n", "best"))).alias("price"))
-        .select("chunk", F.col("price.n").alias("n"), F.col("price.best").alias("best"))
-    )
-    whole = chunked.drop("pairs", "counts").join(priced.hint("merge"), "chunk", "left")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                row = batch.slice(at, 1)
-                columns = {name: row.column(name).flatten() for name in row.schema.names[1:]}
-                n_links = columns["n_links"].to_numpy()
-                place = columns["places"].to_numpy()
-                of_row = np.repeat(np.arange(len(n_links)), n_links)
-                sums = np.zeros(len(n_links), np.int64)
-                best = np.zeros(len(n_links), np.int64)
-                if len(place):
-                    np.add.at(sums, of_row, columns["n"].to_numpy()[place])
-                    np.add.at(best, of_row, columns["best"].to_numpy(zero_copy_only=False)[place].astype(np.int64))
-                columns |= {"n_best": pa.array(best), "count_sum": pa.array(sums)}
-                yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
-
+    chunked = saved(chunks(docs, a_path, b_path), "chunks", GROUP_BYTES)
+    wanted = chunked.select(F.col("chunk").alias("of_chunk"), F.posexplode("pairs").alias("place", "pair"))
+    priced = wanted.join(pair_counts(chunked).hint("shuffle_hash"), "pair").select("of_chunk", "place", "n", "best")
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
-    return whole.mapInArrow(run, ", ".join(f"{n} long" for n in names[:-1]) + ", groups_sha256 string")
+
+    def run(rows: pa.Table, prices: pa.Table) -> pa.Table:
+        at = prices["place"].to_numpy()
+        n, best = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        n[at], best[at] = prices["n"].to_numpy(), prices["best"].to_numpy()
+        place = np.concatenate([np.zeros(0, np.int32), *(c.flatten().to_numpy() for c in rows["places"].chunks)])
+        ends = np.cumsum(rows["n_links"].to_numpy())
+        sums = {name: np.concatenate([[0], np.cumsum(v[place])])[ends] for name, v in (("n_best", best), ("count_sum", n))}
+        for name, v in sums.items():
+            rows = rows.append_column(name, pa.array(np.diff(v, prepend=0), pa.int64()))
+        return rows.select(names)
+
+    both = chunked.drop("pairs", "counts").groupBy("chunk").cogroup(priced.groupBy("of_chunk"))
+    return both.applyInArrow(run, ", ".join(f"{n} long" for n in names[:-1]) + ", groups_sha256 string")

@@ -24,11 +24,15 @@ BITMAP_BITS = 32768
 FILTER_BITS, FILTER_BITMAPS = 16, 2048
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage, survives lost executors."""
+def saved(df: DataFrame, name: str, group_bytes: int | None = None) -> DataFrame:
+    """Write to the shared folder and read back: cuts lineage, survives lost executors.
+
+    ``group_bytes`` limits the row groups of the files, about.
+    """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    options = {} if group_bytes is None else {"parquet.block.size": str(group_bytes)}
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

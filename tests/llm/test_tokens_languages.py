@@ -133,6 +133,24 @@ def test_alignment_over_many_chunks(spark, sides, monkeypatch):
     assert plain(alignment.linked(docs, A, B).collect(), COLUMNS) == sorted(aligned_by_brute_force(rows, sides), key=repr)
 
 
+def test_alignment_keeps_one_text_in_a_row(spark, sides):
+    # A row of a whole chunk would be held many times over by readers and joins.
+    rows = [(i, prose(i % 9, 3 + i % 9)) for i in range(600)] + [(None, ""), (None, None)]
+    found = alignment.chunks(table(spark, rows).coalesce(1), A, B).collect()
+    assert len(found) == len(rows) and {r.chunk for r in found} == {found[0].chunk}
+    assert all(len(r.places) == r.n_links for r in found)
+    assert [len(r.pairs) > 0 for r in found] == [True] + [False] * (len(rows) - 1)
+    assert {p for r in found for p in r.places} == set(range(len(found[0].pairs)))
+    plan = alignment.linked(table(spark, rows), A, B)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "FlatMapCoGroupsInArrow" in plan
+
+
+def test_alignment_of_chunks_without_pairs(spark, sides):
+    rows = [(1, ""), (None, None), (3, "▁")]
+    got = plain(alignment.linked(table(spark, rows).repartition(3), A, B).collect(), COLUMNS)
+    assert got == sorted(aligned_by_brute_force(rows, sides), key=repr)
+
+
 def test_alignment_rows_keep_tokens_and_groups(spark, sides):
     rows = {r.doc_id: r for r in alignment.aligned(table(spark, [(1, "naïve 日本"), (2, None), (3, "▁")]), A, B).collect()}
     a, b = sides("naïve 日本")
